@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carlot.plans import field_queries
+from carlot.plans import cleaning_queries, field_queries, hierarchy_queries, price_queries
 from carlot.plans.fixtures import Views
 
-_MODULES = [field_queries]
+_MODULES = [field_queries, cleaning_queries, hierarchy_queries, price_queries]
 
 
 def _bind(build: Callable[[Views], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -66,7 +66,7 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     spark = build_session(
         "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
-                       "spark.ui.enabled": "false"}
+                       "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     folder = str(DATA / f"sf{sf}")
