@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from carlot.functions.arrays import let
 from carlot.schema import CHANNEL_MEAN, CHANNEL_STD, IMAGE_BOX
 
 
@@ -21,11 +22,13 @@ def fit_box(width: Column, height: Column, box: tuple[int, int] = IMAGE_BOX) ->
 def white_composite(pixels: Column, mask: Column, channels: int = 3) -> Column:
     """Lay interleaved pixels over white by a mask of one weight per pixel."""
 
-    def blend(x: Column, i: Column) -> Column:
-        m = F.get(mask, F.floor(i / channels).cast("int"))
+    def blend(x: Column, m: Column) -> Column:
         return F.floor(x * m + F.lit(255.0) * (F.lit(1.0) - m)).cast("int")
 
-    return F.transform(pixels, blend)
+    def weight(m: Column, i: Column) -> Column:
+        return F.get(m, F.floor(i / channels).cast("int"))
+
+    return let(mask, lambda m: F.transform(pixels, lambda x, i: blend(x, weight(m, i))))
 
 
 def normalize_pixels(pixels: Column, order: str = "rgb") -> Column:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from carlot.functions.arrays import dot
+from carlot.functions.arrays import dot, let
 from carlot.operators.scores import series_node, trim_node
 from carlot.session import settle
 
@@ -122,7 +122,7 @@ def train_node_heads(
 def head_logits(features: Column, weights: Column) -> Column:
     """Logits of every class of a head."""
     x = F.concat(features.cast("array<double>"), F.array(F.lit(1.0)))
-    return F.transform(weights, lambda w: dot(x, w))
+    return let(x, lambda v: F.transform(weights, lambda w: dot(v, w)))
 
 
 def score_node_heads(

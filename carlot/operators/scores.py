@@ -236,7 +236,6 @@ def saliency_threshold(maps: DataFrame) -> DataFrame:
     for level, (cut, keep) in SALIENCY_RULES.items():
         share = F.when(F.col("level") == level, F.lit(cut)).otherwise(share)
         factor = F.when(F.col("level") == level, F.lit(keep)).otherwise(factor)
-    threshold = F.col("threshold")
     return (
         maps.withColumn("scaled", ar.min_max_scale(F.col("values")))
         .withColumn("threshold", ar.percentile_of(F.col("scaled"), share))
@@ -245,9 +244,16 @@ def saliency_threshold(maps: DataFrame) -> DataFrame:
             "image_id",
             "level",
             "threshold",
-            F.transform(
-                "scaled", lambda x: F.when(x < threshold, x * F.col("factor")).otherwise(x)
+            ar.let(
+                F.struct("threshold", "factor"),
+                lambda r: F.transform(
+                    "scaled",
+                    lambda x: F.when(x < r["threshold"], x * r["factor"]).otherwise(x),
+                ),
             ).alias("damped"),
-            F.transform("scaled", lambda x: (x > threshold).cast("int")).alias("mask"),
+            ar.let(
+                F.col("threshold"),
+                lambda cut: F.transform("scaled", lambda x: (x > cut).cast("int")),
+            ).alias("mask"),
         )
     )

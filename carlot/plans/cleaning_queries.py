@@ -15,7 +15,7 @@ def _brand_prices(views: Views) -> DataFrame:
     priced = pricing.realistic_filter(pricing.price_casts(views.listing_clean))
     return priced.groupBy("marka").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.round(F.avg("fiyat"), 3).alias("avg_fiyat"),
+        F.avg("fiyat").alias("avg_fiyat"),
         F.min("km").alias("min_km"),
     )
 
@@ -63,7 +63,7 @@ def _raw(columns: str) -> str:
 SQL = {
     "brand_prices": with_views(
         ["price_rows"],
-        "select marka, count(*) as n_rows, round(avg(fiyat), 3) as avg_fiyat, min(km) as min_km "
+        "select marka, count(*) as n_rows, avg(fiyat) as avg_fiyat, min(km) as min_km "
         "from price_rows group by marka",
     ),
     "drop_incomplete": with_views(["listing_complete"], "select * from listing_complete"),

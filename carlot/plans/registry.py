@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carlot.plans import cleaning_queries, field_queries, hierarchy_queries, price_queries
+from carlot.plans import (
+    cleaning_queries,
+    field_queries,
+    hierarchy_queries,
+    image_queries,
+    price_queries,
+    score_queries,
+    source_queries,
+)
 from carlot.plans.fixtures import Views
 
-_MODULES = [field_queries, cleaning_queries, hierarchy_queries, price_queries]
+_MODULES = [
+    field_queries, cleaning_queries, hierarchy_queries, price_queries, image_queries, score_queries,
+    source_queries,
+]
 
 
 def _bind(build: Callable[[Views], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
