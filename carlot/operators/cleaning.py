@@ -1,9 +1,11 @@
 """The cleaning chain: every step is a DataFrame-to-DataFrame function.
 
-The steps compose into one lazy plan.  The only wide shuffle of listing rows is
-the one that finds duplicates; key sets (brand counts, image names) are joined
-without hints, so that adaptive execution broadcasts them only once their real
-size is known to be small, and otherwise splits skewed join partitions.
+Listing rows are shuffled twice: to find duplicates, where copies are combined
+before the shuffle, and to match image names.  Key sets are never hinted for
+broadcast.  The set of common brands is staged, so the planner sees its size and
+broadcasts it only when small; image names join by shuffle or, once adaptive
+execution has measured them as small, by broadcast.  Skewed join partitions
+(one brand, one placeholder image) are split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from carlot.functions import text as tx
 from carlot.schema import KEY_COLUMNS, MIN_BRAND_ROWS, PROCESSED_IMAGE_DIR
+from carlot.session import stage
+from carlot.sources.images import drop_stale_outputs
 from carlot.sources.listings import normalize_na
 
 
@@ -59,10 +63,13 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 def min_samples(
     df: DataFrame, min_sample: int = MIN_BRAND_ROWS, keys: tuple[str, ...] = ("marka",)
 ) -> DataFrame:
-    """Rows whose key occurs often enough; keys in turn, counted anew each time."""
+    """Rows whose key occurs often enough; keys in turn, counted anew each time.
+
+    The counts are taken right away, in a pass over the key column alone.
+    """
     for key in keys:
         common = key_counts(df, key).where(F.col("n_rows") >= min_sample).select(key)
-        df = df.join(common, key, "left_semi").select(*df.columns)
+        df = df.join(stage(common, f"common-{key}"), key, "left_semi").select(*df.columns)
     return df
 
 
@@ -138,19 +145,18 @@ def clean_listings(
     """The whole chain.  ``km`` and ``fiyat`` stay digit texts, as written to file.
 
     Brands are counted under their raw spelling, before images drop rows;
-    ``recheck`` counts once more at the end.
+    ``recheck`` counts once more at the end.  The distinct listings are written to
+    the shared folder when this is called; the steps after them stay lazy.
     """
-    # After the first step image_path is never null; saying so again keeps the
-    # column in the branch that counts brands, so both branches of min_samples
-    # read one and the same duplicate-finding shuffle.
     unique = raw.transform(normalize_na).transform(drop_incomplete).transform(dedupe_listings)
+    # A failed image has no finished file, so both image steps are one join here.
+    finished = files if failed is None else drop_stale_outputs(files, failed)
     out = (
-        unique.where(F.col("image_path").isNotNull())
+        stage(unique, "unique")
         .transform(min_samples, min_sample)
-        .transform(drop_failed_images, failed)
         .transform(repair_series)
         .transform(rename_brands)
-        .transform(keep_existing_images, files)
+        .transform(keep_existing_images, finished)
         .transform(clean_km)
         .transform(clean_price)
         .transform(cast_year, strict)
@@ -167,20 +173,22 @@ def cleaning_audit(
 ) -> DataFrame:
     """Rows removed (or renamed) by each step, and rows left after it.
 
-    One pass: rows are tagged with the step that removes them and counted, where
-    a filter per step would scan the table once per count.
+    The distinct listings are found once; they are then tagged with the step that
+    removes them and counted, where a filter per step would repeat the work.
     """
     rows = normalize_na(raw)
     complete = F.lit(True)
     for c in rows.columns:
         complete = complete & F.col(c).isNotNull()
-    groups = _group_copies(rows.where(complete)).where(F.col("_first.image_path").isNotNull())
-    brands = key_counts(groups, "marka").withColumnRenamed("n_rows", "brand_rows")
-    tagged = (
-        groups.select(
+    groups = stage(
+        _group_copies(rows.where(complete)).select(
             "marka", "copies", tx.basename(F.col("_first.image_path")).alias("basename")
-        )
-        .join(brands, "marka")
+        ),
+        "groups",
+    )
+    brands = stage(key_counts(groups, "marka").withColumnRenamed("n_rows", "brand_rows"), "brands")
+    tagged = (
+        groups.join(brands, "marka")
         .join(failed.select("basename").distinct().withColumn("_failed", F.lit(True)),
               "basename", "left")
         .join(files.select("basename").distinct().withColumn("_file", F.lit(True)),

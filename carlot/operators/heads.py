@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from carlot.functions.arrays import dot, let
 from carlot.operators.scores import series_node, trim_node
-from carlot.session import settle
+from carlot.session import stage
 
 _HEADS_IN_MEMORY = 256  # gradient sums a task holds before it hands them on
 
@@ -77,15 +77,16 @@ def train_node_heads(
     depend on the partitioning beyond rounding.
     """
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    heads = settle(
-        rows.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n_rows"), (F.max("label") + 1).alias("n_classes")
-        )
+    heads = rows.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n_rows"), (F.max("label") + 1).alias("n_classes")
     )
     zero = F.array_repeat(F.lit(0.0), width + 1)
-    weights = heads.select(
-        "node", "n_rows", F.transform(F.sequence(F.lit(1), "n_classes"), lambda i: zero)
-        .alias("weights"),
+    weights = stage(
+        heads.select(
+            "node", "n_rows",
+            F.transform(F.sequence(F.lit(1), "n_classes"), lambda i: zero).alias("weights"),
+        ),
+        "heads",
     )
     for _ in range(steps):
         summed = (
@@ -109,11 +110,12 @@ def train_node_heads(
                 ).alias("w"),
             )
         )
-        weights = settle(
+        weights = stage(
             moved.groupBy("node", "n_rows")
             # one entry per class of the head
             .agg(F.array_sort(F.collect_list(F.struct("class_idx", "w"))).alias("c"))
-            .select("node", "n_rows", F.transform("c", lambda c: c["w"]).alias("weights"))
+            .select("node", "n_rows", F.transform("c", lambda c: c["w"]).alias("weights")),
+            "heads",
         )
     rows.unpersist()
     return weights.select("node", "weights")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from carlot.operators.ordering import sorted_index
-from carlot.session import settle
+from carlot.session import stage
 from carlot.sources.listings import require_columns
 
 LEVELS = ["brand", "series", "trim"]
@@ -64,7 +64,7 @@ def hierarchy_config(df: DataFrame) -> DataFrame:
 
 def class_index(df: DataFrame, chunks: int | None = None) -> dict[str, DataFrame]:
     """Index tables per level: brands overall, series in a brand, trims in a pair."""
-    names = settle(level_names(df))
+    names = stage(level_names(df), "levels")
     return {
         "brand": sorted_index(names, [], "brand", "brand_idx", chunks),
         "series": sorted_index(names, ["brand"], "series", "series_idx", chunks),

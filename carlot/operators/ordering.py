@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from carlot.session import settle
+from carlot.session import stage
 
 _ROW_BITS = 33  # low bits of monotonically_increasing_id: row number in its partition
 
@@ -31,13 +31,14 @@ def sorted_index(
     keys = [*parents, name]
     parts = [chunks] if chunks else []
     spot = F.monotonically_increasing_id()
-    placed = settle(
+    placed = stage(
         names.select(*keys)
         .distinct()
         .repartitionByRange(*parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_chunk", F.shiftright(spot, _ROW_BITS))
-        .withColumn("_row", spot.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+        .withColumn("_row", spot.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))),
+        f"index-{name}",
     )
     group = [*parents, "_chunk"]
     earlier = Window.partitionBy(*parents).orderBy("_chunk").rowsBetween(

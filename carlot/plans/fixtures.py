@@ -30,6 +30,19 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        """The line items, spread over the cores if they come as one file.
+
+        A single file with one row group is one scan task; a table of many files
+        is read as it is.
+        """
+        df = self.table("lineitem")
+        cores = self.spark.sparkContext.defaultParallelism
+        if len(df.inputFiles()) == 1 and cores > 1:
+            return df.repartition(cores, "l_orderkey", "l_linenumber")
+        return df
+
     @cached_property
     def listing_raw(self) -> DataFrame:
         order, size = F.col("l_orderkey"), F.col("p_size")
@@ -47,7 +60,7 @@ class Views:
             F.lit(".jpg"),
         )
         joined = (
-            self.table("lineitem").withColumn("site", (order % 4).cast("int"))
+            self.lineitem.withColumn("site", (order % 4).cast("int"))
             .join(self.table("part"), F.col("p_partkey") == F.col("l_partkey"))
             .join(self.table("supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
             .join(self.table("nation"), F.col("n_nationkey") == F.col("s_nationkey"))

@@ -54,12 +54,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there.
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and go on from the files.
 
-    Used where one result feeds several branches that must agree row by row
-    (positions after a sort) and inside iterations, so that a lost executor
-    costs one re-read and not the whole history.
+    Used where one result feeds several branches or iterations.  The lineage is
+    cut, so a lost executor costs a re-read; later steps read only the columns
+    they need; and the planner knows the true size, so a join with the result is
+    broadcast only below ``spark.sql.autoBroadcastJoinThreshold`` and shuffled
+    beyond it.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,26 +7,32 @@ rows of a page from 0 in document order, and can return the rejects instead.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from carlot.functions import text as tx
+from carlot.functions.arrays import let
 from carlot.schema import IDENTITY_COLUMNS
 
 _FIELDS = [*IDENTITY_COLUMNS, "img_url"]
 
 
-def html_text(markup: Column) -> Column:
-    """Visible text of a fragment: tags gone, entities read, breaks as line feeds."""
-    c = F.regexp_replace(markup, r"(?s)<!--.*?-->", "")
-    c = F.regexp_replace(c, r"(?U)\s+", " ")
-    c = F.regexp_replace(c, r"(?i) ?(<br ?/?>|</(p|div|li|tr|h[1-6])>) ?", "\n")
-    c = F.regexp_replace(c, r"<[^>]*>", "")
+def _decode(c: Column) -> Column:
     for entity, char in [
         ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
         ("&apos;", "'"), ("&amp;", "&"),
     ]:
         c = F.replace(c, F.lit(entity), F.lit(char))
-    return tx.strip(c)
+    return c
+
+
+def html_text(markup: Column) -> Column:
+    """Visible text of a fragment: tags gone, entities read, breaks as line feeds."""
+    c = F.regexp_replace(markup, r"(?U)\s+", " ")
+    c = F.regexp_replace(c, r"(?i) ?(<br ?/?>|</(p|div|li|tr|h[1-6])>) ?", "\n")
+    c = F.regexp_replace(c, r"<!--.*?-->|<[^>]*>", "")
+    return let(c, lambda t: tx.strip(F.when(t.contains("&"), _decode(t)).otherwise(t)))
 
 
 def _elements(html: Column, tag: str) -> Column:
@@ -43,25 +49,24 @@ def _opening(tag: str, attribute: str, part: str, whole_word: bool = False) -> s
     return rf"<{tag}\b[^>]*?\b{attribute}\s*=\s*[\"']{value}[\"'][^>]*>"
 
 
-def _found(c: Column, pattern: str, group: int) -> Column:
-    """First match of a group; null when the pattern does not occur."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
+def _first(c: Column, pattern: str) -> Column:
+    """First match of a pattern, whole; null when it does not occur."""
+    return tx.blank_to_null(F.regexp_extract(c, pattern, 0))
 
 
-def _by_class(c: Column, cls: str, tag: str = r"(\w+)", whole_word: bool = False) -> Column:
-    """Inner markup of the first element with a class; null if there is none."""
-    if tag == r"(\w+)":
-        pattern = "(?is)" + _opening(tag, "class", cls, whole_word) + r"(.*?)</\1>"
-        return _found(c, pattern, 2)
-    return _found(c, "(?is)" + _opening(tag, "class", cls, whole_word) + rf"(.*?)</{tag}>", 1)
+def _by_class(c: Column, cls: str, tag: str | None = None, whole_word: bool = False) -> Column:
+    """The first element with a class, tags included; null if there is none."""
+    opening = _opening(tag or r"(\w+)", "class", cls, whole_word)
+    return _first(c, "(?is)" + opening + r".*?</" + (tag or r"\1") + ">")
 
 
 def _attribute(c: Column, name: str) -> Column:
-    return _found(c, rf"(?is)\b{name}\s*=\s*[\"']([^\"']*)[\"']", 1)
+    """Value of an attribute of an opening tag; '' if it has none, null without a tag."""
+    return F.regexp_extract(c, rf"(?is)\b{name}\s*=\s*[\"']([^\"']*)[\"']", 1)
 
 
 def _image_src(c: Column) -> Column:
-    return _attribute(_found(c, r"(?is)<img\b[^>]*>", 0), "src")
+    return _attribute(_first(c, r"(?is)<img\b[^>]*>"), "src")
 
 
 def _pieces(html: Column, opening: str) -> Column:
@@ -181,6 +186,19 @@ def extract_rows_cells8(pages: DataFrame, rejects: bool = False) -> DataFrame:
     return _emit(pages, parsed, rejects)
 
 
+def _card_fields(r: Column, part: Callable[[Column, str], Column]) -> Column:
+    card = r["card"]
+    return F.struct(
+        r["brand"].alias("brand"),
+        r["series"].alias("series"),
+        _image_src(part(card, "figure")).alias("img_url"),
+        html_text(part(card, "summary")).alias("trim"),
+        tx.split_specs(html_text(part(card, "specs-summary"))).alias("specs"),
+        tx.first_line_price(html_text(part(card, "price"))).alias("price"),
+        tx.city_of(html_text(part(card, "footer-title"))).alias("city"),
+    )
+
+
 def extract_rows_card(pages: DataFrame, rejects: bool = False) -> DataFrame:
     """Card dialect: one container element per ad."""
     prefix = "do-vehicle-card__"
@@ -191,17 +209,22 @@ def extract_rows_card(pages: DataFrame, rejects: bool = False) -> DataFrame:
     def part(c: Column, name: str) -> Column:
         return _by_class(c, prefix + name, whole_word=True)
 
+    def within(title: Column, tag: str) -> Column:
+        return html_text(_first(title, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>"))
+
+    titled = F.transform(
+        cards, lambda c: F.struct(c.alias("card"), part(c, "title").alias("title"))
+    )
     read = F.transform(
-        cards,
-        lambda c: F.struct(
-            _image_src(part(c, "figure")).alias("img_url"),
-            html_text(F.get(_elements(part(c, "title"), "strong"), F.lit(0))).alias("brand"),
-            html_text(F.get(_elements(part(c, "title"), "span"), F.lit(0))).alias("series"),
-            html_text(part(c, "summary")).alias("trim"),
-            tx.split_specs(html_text(part(c, "specs-summary"))).alias("specs"),
-            tx.first_line_price(html_text(part(c, "price"))).alias("price"),
-            tx.city_of(html_text(part(c, "footer-title"))).alias("city"),
+        F.transform(
+            titled,
+            lambda r: F.struct(
+                r["card"].alias("card"),
+                within(r["title"], "strong").alias("brand"),
+                within(r["title"], "span").alias("series"),
+            ),
         ),
+        lambda r: _card_fields(r, part),
     )
     parsed = F.transform(
         read,
@@ -238,7 +261,7 @@ def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
 
     def slide_image(c: Column) -> Column:
         slide = _by_class(c, "swiper-slide", tag="div", whole_word=True)
-        return _attribute(_found(slide, "(?is)" + _opening("img", "class", "image"), 0), "src")
+        return _attribute(_first(slide, "(?is)" + _opening("img", "class", "image")), "src")
 
     def price(c: Column) -> Column:
         box = _by_class(c, "text-xs", tag="div", whole_word=True)
@@ -249,7 +272,7 @@ def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
 
     def property_text(item: Column) -> Column:
         pattern = "(?is)" + _opening("span", "class", "propertyName")
-        title = _attribute(_found(item, pattern, 0), "title")
+        title = _attribute(_first(item, pattern), "title")
         return tx.attr_or_text(title, html_text(_by_class(item, "propertyName", tag="span")))
 
     read = F.transform(
