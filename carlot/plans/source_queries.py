@@ -53,7 +53,8 @@ def _bitmap_files(rows: DataFrame, folder: str) -> DataFrame:
     def write(batches):
         from pyarrow import fs
 
-        store, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        local = folder.removeprefix("file:") if "://" not in folder else None
+        store, root = fs.FileSystem.from_uri(folder if local is None else f"file://{local}")
         store.create_dir(root)
         for pdf in batches:
             for r in pdf.itertuples():

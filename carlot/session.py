@@ -38,15 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
         "spark.checkpoint.dir", None
     )
-    if named is None:
-        named = context.getCheckpointDir()
-    if named is None:
+    if named:
+        return named
+    if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="carlot-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return named
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="carlot-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

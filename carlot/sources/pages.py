@@ -29,8 +29,9 @@ def _decode(c: Column) -> Column:
 
 def html_text(markup: Column) -> Column:
     """Visible text of a fragment: tags gone, entities read, breaks as line feeds."""
-    c = F.regexp_replace(markup, r"(?U)\s+", " ")
-    c = F.regexp_replace(c, r"(?i) ?(<br ?/?>|</(p|div|li|tr|h[1-6])>) ?", "\n")
+    c = F.regexp_replace(markup, r"[ \t\r\n\f]+", " ")
+    gap = "(?: |<!--.*?-->)*"
+    c = F.regexp_replace(c, rf"(?i){gap}(<br ?/?>|</(p|div|li|tr|h[1-6])>){gap}", "\n")
     c = F.regexp_replace(c, r"<!--.*?-->|<[^>]*>", "")
     return let(c, lambda t: tx.strip(F.when(t.contains("&"), _decode(t)).otherwise(t)))
 
@@ -51,7 +52,7 @@ def _opening(tag: str, attribute: str, part: str, whole_word: bool = False) -> s
 
 def _first(c: Column, pattern: str) -> Column:
     """First match of a pattern, whole; null when it does not occur."""
-    return tx.blank_to_null(F.regexp_extract(c, pattern, 0))
+    return let(F.regexp_extract(c, pattern, 0), tx.blank_to_null)
 
 
 def _by_class(c: Column, cls: str, tag: str | None = None, whole_word: bool = False) -> Column:
@@ -157,7 +158,7 @@ def extract_rows_cells8(pages: DataFrame, rejects: bool = False) -> DataFrame:
     split_title = F.transform(
         cells,
         lambda r: F.struct(
-            tx.parse_title_prefix(tx.squash_ws(F.get(r["cells"], F.lit(1)))).alias("title"),
+            let(tx.squash_ws(F.get(r["cells"], F.lit(1))), tx.parse_title_prefix).alias("title"),
             r["cells"].alias("cells"),
             r["img_url"].alias("img_url"),
         ),
@@ -193,7 +194,7 @@ def _card_fields(r: Column, part: Callable[[Column, str], Column]) -> Column:
         r["series"].alias("series"),
         _image_src(part(card, "figure")).alias("img_url"),
         html_text(part(card, "summary")).alias("trim"),
-        tx.split_specs(html_text(part(card, "specs-summary"))).alias("specs"),
+        let(html_text(part(card, "specs-summary")), tx.split_specs).alias("specs"),
         tx.first_line_price(html_text(part(card, "price"))).alias("price"),
         tx.city_of(html_text(part(card, "footer-title"))).alias("city"),
     )
@@ -266,9 +267,8 @@ def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
     def price(c: Column) -> Column:
         box = _by_class(c, "text-xs", tag="div", whole_word=True)
         spans = F.transform(_elements(c, "span"), html_text)
-        return tx.ensure_tl(
-            tx.price_fallback(html_text(_by_class(box, "text-", tag="span")), spans)
-        )
+        found = tx.price_fallback(html_text(_by_class(box, "text-", tag="span")), spans)
+        return let(found, tx.ensure_tl)
 
     def property_text(item: Column) -> Column:
         pattern = "(?is)" + _opening("span", "class", "propertyName")
@@ -290,7 +290,7 @@ def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
     titled = F.transform(
         read,
         lambda r: F.struct(
-            tx.parse_title_hyphen(tx.clean_line(r["advert"])).alias("title"),
+            let(tx.clean_line(r["advert"]), tx.parse_title_hyphen).alias("title"),
             tx.first_last_item(r["items"]).alias("ends"),
             r.alias("raw"),
         ),
@@ -302,7 +302,9 @@ def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
             r["title"]["series"].alias("seri"),
             r["title"]["trim"].alias("model"),
             tx.clean_line(r["raw"]["advert"]).alias("baslik"),
-            F.coalesce(tx.year_of_description(r["raw"]["description"]), F.lit("")).alias("yil"),
+            F.coalesce(
+                tx.year_of_description(r["raw"]["description"]), F.lit("")
+            ).alias("yil"),
             tx.strip_km(r["ends"]["km"]).alias("km"),
             r["raw"]["price"].alias("fiyat"),
             tx.clean_line(r["ends"]["place"]).alias("il_ilce"),
