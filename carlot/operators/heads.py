@@ -2,8 +2,9 @@
 
 A head is a row ``node, weights`` with one weight vector (bias last) per class.
 Training is full-batch softmax regression.  Each step joins rows with their
-head, adds up gradients per head inside the tasks, and sums them over tasks, so
-a node that holds most of the rows is spread over all tasks.
+head and scores them on the JVM side, adds up gradients per head inside the
+tasks, and sums them over tasks, so a node that holds most of the rows is spread
+over all tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from carlot.functions.arrays import dot, let
+from carlot.functions.arrays import dot, let, softmax
 from carlot.operators.scores import series_node, trim_node
 from carlot.session import stage
 
@@ -39,6 +40,14 @@ def node_rows(labelled: DataFrame, features: str = "features") -> DataFrame:
     return labelled.select(F.inline(heads), x.alias("x"))
 
 
+def _residuals(x: Column, weights: Column, label: Column) -> Column:
+    """Probability of every class of a head, less 1 for the true class."""
+    return let(
+        softmax(head_logits(x, weights)),
+        lambda p: F.transform(p, lambda v, i: v - (i == label).cast("double")),
+    )
+
+
 def _gradients(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per head and class: summed gradient over the rows seen by this task."""
     sums: dict[str, np.ndarray] = {}
@@ -53,14 +62,8 @@ def _gradients(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for pdf in batches:
         for node, part in pdf.groupby("node", sort=False):
-            weights = np.stack([np.asarray(w) for w in part["weights"].iloc[0]])
             x = np.stack(part["x"].to_list())
-            x = np.hstack([x, np.ones((len(x), 1))])
-            scores = x @ weights.T
-            probs = np.exp(scores - scores.max(axis=1, keepdims=True))
-            probs /= probs.sum(axis=1, keepdims=True)
-            probs[np.arange(len(x)), part["label"].to_numpy()] -= 1.0
-            grad = probs.T @ x
+            grad = np.stack(part["residual"].to_list()).T @ np.hstack([x, np.ones((len(x), 1))])
             sums[node] = sums[node] + grad if node in sums else grad
         if len(sums) > _HEADS_IN_MEMORY:
             yield flush()
@@ -91,6 +94,8 @@ def train_node_heads(
     for _ in range(steps):
         summed = (
             rows.join(weights.select("node", "weights"), "node")
+            .select("node", "x", _residuals(F.col("x"), F.col("weights"), F.col("label"))
+                    .alias("residual"))
             .mapInPandas(_gradients, "node string, class_idx int, gradient array<double>")
             .groupBy("node", "class_idx")
             .agg(*[F.sum(F.col("gradient")[i]).alias(f"g{i}") for i in range(width + 1)])

@@ -178,7 +178,7 @@ def _assign_image_name(views: Views) -> DataFrame:
     parts = [
         combine.assign_image_name(rows.where("site = 0"), at, unit="offset"),
         combine.assign_image_name(rows.where("site in (1, 2)"), at),
-        combine.assign_image_name(rows.where("site = 3"), at, prefix="otokoc_"),
+        combine.assign_image_name(rows.where("site = 3"), at, prefix="site3_"),
     ]
     return reduce(DataFrame.unionByName, parts).select(*KEY_COLUMNS, "image_name")
 
@@ -343,7 +343,7 @@ from numbered group by site
         ["listing_raw"],
         """
 select site, page, idx, case when page % 9 <> 0 and image_path is not null then concat(
-  'data/images/', case when site = 3 then 'otokoc_' else '' end, 'car_',
+  'data/images/', case when site = 3 then 'site3_' else '' end, 'car_',
   strftime(timestamp '2024-01-01' + to_seconds(page % 86400), '%Y%m%d_%H%M%S'),
   case when site = 0 then '_offset_' else '_page_' end, cast(page as string), '_idx_',
   cast(idx as string), '.jpg') end as image_name

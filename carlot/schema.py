@@ -73,7 +73,20 @@ PRICE_BOUNDS = (10000, 5000000)
 KM_BOUNDS = (0, 500000)
 MIN_YEAR = 1990
 
+# Markup that each page dialect is read by.
+CELLS9_TABLE_ID = "searchResultsTable"
+CELLS9_CELL_ORDER = [0, 1, 2, 3, 4, 5, 6, 8]
+CELLS9_CELLS = 9
+CELLS8_TABLE_CLASS = "listing-table"
+CELLS8_MIN_CELLS = 8
+CARD_PREFIX = "do-vehicle-card__"
+GRID_SECTION = ("product", "horizontal")
+GRID_SLIDE, GRID_IMAGE, GRID_TITLE = "swiper-slide", "image", "advert"
+GRID_PROPERTIES, GRID_PROPERTY = "propertyGrid", "propertyName"
+GRID_DESCRIPTION, GRID_PRICE_BOX, GRID_PRICE = "description", "text-xs", "text-"
+
 # Paging.
+OFFSET_PARAMETER, SIZE_PARAMETER = "pagingOffset", "pagingSize"
 OFFSET_STEP = 50
 MAX_OFFSET = 950
 ROWS_PER_PAGE = 15

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from carlot.operators.ordering import range_chunks
-from carlot.schema import DEFAULT_PAGES, MAX_OFFSET, OFFSET_STEP, ROWS_PER_PAGE
+from carlot.schema import (
+    DEFAULT_PAGES,
+    MAX_OFFSET,
+    OFFSET_PARAMETER,
+    OFFSET_STEP,
+    ROWS_PER_PAGE,
+    SIZE_PARAMETER,
+)
 
 
 def site_page_count(buttons: DataFrame, requested: int = DEFAULT_PAGES) -> DataFrame:
@@ -53,8 +60,8 @@ def crawl_frontier(sites: DataFrame, done: DataFrame) -> DataFrame:
     url = F.when(
         by_offset,
         F.concat(
-            F.col("base_url"), first, F.lit("pagingOffset="), F.col("page").cast("string"),
-            F.lit(f"&pagingSize={OFFSET_STEP}"),
+            F.col("base_url"), first, F.lit(f"{OFFSET_PARAMETER}="), F.col("page").cast("string"),
+            F.lit(f"&{SIZE_PARAMETER}={OFFSET_STEP}"),
         ),
     ).otherwise(
         F.concat(F.col("base_url"), first, F.col("kind"), F.lit("="), F.col("page").cast("string"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from carlot.functions import text as tx
 from carlot.functions.arrays import let
+from carlot import schema as sc
 from carlot.schema import IDENTITY_COLUMNS
 
 _FIELDS = [*IDENTITY_COLUMNS, "img_url"]
@@ -114,7 +115,7 @@ def extract_rows_cells9(pages: DataFrame, rejects: bool = False) -> DataFrame:
     """
     with_cells = F.filter(
         F.transform(
-            _table_rows(F.col("html"), "id", "searchResultsTable"),
+            _table_rows(F.col("html"), "id", sc.CELLS9_TABLE_ID),
             lambda r: F.struct(_elements(r, "td").alias("raw")),
         ),
         lambda r: F.size(r["raw"]) > 0,
@@ -126,14 +127,14 @@ def extract_rows_cells9(pages: DataFrame, rejects: bool = False) -> DataFrame:
             _image_src(F.get(r["raw"], F.lit(0))).alias("img_url"),
         ),
     )
-    order = [0, 1, 2, 3, 4, 5, 6, 8]
     parsed = F.transform(
         read,
         lambda r: F.struct(
-            *[F.get(r["cells"], F.lit(i)).alias(n) for i, n in zip(order, IDENTITY_COLUMNS)],
+            *[F.get(r["cells"], F.lit(i)).alias(n) for i, n in zip(sc.CELLS9_CELL_ORDER, IDENTITY_COLUMNS)],
             r["img_url"].alias("img_url"),
             _reason(
-                (F.size(r["cells"]) != 9, "cell count"), (r["img_url"].isNull(), "no image")
+                (F.size(r["cells"]) != sc.CELLS9_CELLS, "cell count"),
+                (r["img_url"].isNull(), "no image"),
             ).alias("reject_reason"),
         ),
     )
@@ -142,7 +143,7 @@ def extract_rows_cells9(pages: DataFrame, rejects: bool = False) -> DataFrame:
 
 def extract_rows_cells8(pages: DataFrame, rejects: bool = False) -> DataFrame:
     """Table dialect with a header row; the title column carries brand, series, trim."""
-    all_rows = _table_rows(F.col("html"), "class", "listing-table")
+    all_rows = _table_rows(F.col("html"), "class", sc.CELLS8_TABLE_CLASS)
     body = F.slice(all_rows, F.lit(2), F.greatest(F.size(all_rows) - 1, F.lit(0)))
     read = F.transform(
         body,
@@ -180,7 +181,8 @@ def extract_rows_cells8(pages: DataFrame, rejects: bool = False) -> DataFrame:
             tx.squash_ws(cell(r, 8)).alias("il_ilce"),
             r["img_url"].alias("img_url"),
             _reason(
-                (F.size(r["cells"]) < 8, "too few cells"), (cell(r, 8).isNull(), "no place cell")
+                (F.size(r["cells"]) < sc.CELLS8_MIN_CELLS, "too few cells"),
+                (cell(r, 8).isNull(), "no place cell"),
             ).alias("reject_reason"),
         ),
     )
@@ -202,7 +204,7 @@ def _card_fields(r: Column, part: Callable[[Column, str], Column]) -> Column:
 
 def extract_rows_card(pages: DataFrame, rejects: bool = False) -> DataFrame:
     """Card dialect: one container element per ad."""
-    prefix = "do-vehicle-card__"
+    prefix = sc.CARD_PREFIX
     cards = _pieces(
         F.col("html"), _opening(r"\w+", "class", f"{prefix}container", whole_word=True)
     )
@@ -254,37 +256,35 @@ def extract_rows_card(pages: DataFrame, rejects: bool = False) -> DataFrame:
 
 def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
     """Grid dialect: one section per ad, with a property list."""
-    opening = (
-        r"<section\b(?=[^>]*\bclass\s*=\s*[\"'][^\"']*product)"
-        r"(?=[^>]*\bclass\s*=\s*[\"'][^\"']*horizontal)[^>]*>"
-    )
+    held = "".join(rf"(?=[^>]*\bclass\s*=\s*[\"'][^\"']*{word})" for word in sc.GRID_SECTION)
+    opening = rf"<section\b{held}[^>]*>"
     sections = _pieces(F.col("html"), opening)
 
     def slide_image(c: Column) -> Column:
-        slide = _by_class(c, "swiper-slide", tag="div", whole_word=True)
-        return _attribute(_first(slide, "(?is)" + _opening("img", "class", "image")), "src")
+        slide = _by_class(c, sc.GRID_SLIDE, tag="div", whole_word=True)
+        return _attribute(_first(slide, "(?is)" + _opening("img", "class", sc.GRID_IMAGE)), "src")
 
     def price(c: Column) -> Column:
-        box = _by_class(c, "text-xs", tag="div", whole_word=True)
+        box = _by_class(c, sc.GRID_PRICE_BOX, tag="div", whole_word=True)
         spans = F.transform(_elements(c, "span"), html_text)
-        found = tx.price_fallback(html_text(_by_class(box, "text-", tag="span")), spans)
+        found = tx.price_fallback(html_text(_by_class(box, sc.GRID_PRICE, tag="span")), spans)
         return let(found, tx.ensure_tl)
 
     def property_text(item: Column) -> Column:
-        pattern = "(?is)" + _opening("span", "class", "propertyName")
+        pattern = "(?is)" + _opening("span", "class", sc.GRID_PROPERTY)
         title = _attribute(_first(item, pattern), "title")
-        return tx.attr_or_text(title, html_text(_by_class(item, "propertyName", tag="span")))
+        return tx.attr_or_text(title, html_text(_by_class(item, sc.GRID_PROPERTY, tag="span")))
 
     read = F.transform(
         sections,
         lambda c: F.struct(
             slide_image(c).alias("img_url"),
-            html_text(_by_class(c, "advert", tag="div")).alias("advert"),
+            html_text(_by_class(c, sc.GRID_TITLE, tag="div")).alias("advert"),
             F.transform(
-                _elements(_by_class(c, "propertyGrid", tag="ul"), "li"), property_text
+                _elements(_by_class(c, sc.GRID_PROPERTIES, tag="ul"), "li"), property_text
             ).alias("items"),
             price(c).alias("price"),
-            html_text(_by_class(c, "description", tag="small")).alias("description"),
+            html_text(_by_class(c, sc.GRID_DESCRIPTION, tag="small")).alias("description"),
         ),
     )
     titled = F.transform(

@@ -44,7 +44,7 @@ def one(spark, column):
         (tx.strip_km, None, ""),
         (tx.split_specs, "2020, 45.000 km, Dizel", ("2020", "45.000 km", False)),
         (tx.split_specs, "2020", ("2020", None, True)),
-        (tx.city_of, "DOD Maslak, İstanbul", "İstanbul"),
+        (tx.city_of, "Galeri Maslak, İstanbul", "İstanbul"),
         (tx.city_of, "Maslak", None),
         (tx.year_of_description, "2020 Model, Beyaz", "2020"),
         (tx.year_of_description, "Beyaz", ""),
