@@ -210,8 +210,7 @@ def cleaning_audit(
         number(renamed).alias("renamed"),
         number(missing).alias("missing"),
     )
-    # two single-row tables
-    totals = rows.agg(F.count(F.lit(1)).alias("total")).join(F.broadcast(sums))
+    totals = sums.withColumn("total", rows.agg(F.count(F.lit(1))).scalar())
     steps = [
         ("drop_incomplete", F.col("total") - F.col("complete"), 1),
         ("dedupe_listings", F.col("duplicates"), 1),

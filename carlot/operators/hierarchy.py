@@ -104,10 +104,12 @@ def hierarchy_counts(df: DataFrame) -> DataFrame:
     per_brand = pairs.groupBy("brand").agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_series")
     )
-    totals = per_brand.agg(
-        F.sum("n_rows").alias("total_rows"), F.count(F.lit(1)).alias("n_brands")
+    return per_brand.withColumns(
+        {
+            "total_rows": per_brand.agg(F.sum("n_rows")).scalar(),
+            "n_brands": per_brand.agg(F.count(F.lit(1))).scalar(),
+        }
     )
-    return per_brand.join(F.broadcast(totals))  # totals is one row
 
 
 def decode_index(df: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
