@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from carlot.functions import arrays as ar
 from carlot.operators import heads, scores, training
 from carlot.plans.fixtures import Views, node_of
 from carlot.plans.sql_views import with_views
@@ -84,11 +85,19 @@ def _mixup(views: Views) -> DataFrame:
     return mixed.withColumn("v", F.round(total, 6)).withColumn("lam", F.round("lam", 6))
 
 
+def _beta_lambda(views: Views) -> DataFrame:
+    """One draw per batch of images."""
+    batches = views.labels3.select(_batch().alias("batch")).distinct()
+    return batches.withColumn("lam", training.beta_lambda(F.col("batch")))
+
+
 def _mixup_loss(views: Views) -> DataFrame:
-    """The blend of both label sets' losses per batch, at the Beta-drawn weight."""
+    """The blend of both label sets' losses per batch."""
     rows = views.labels3.join(views.embeddings.select("image_id", "v"), "image_id")
     levels = ["brand_idx", "series_idx", "trim_idx"]
-    mixed = training.mixup(rows, "image_id", "v", levels)
+    mixed = training.mixup(
+        rows, "image_id", "v", levels, lam=(F.col("batch") % 10 + 1) / 11
+    )
     own = mixed.select("image_id", *levels)
     other = mixed.select("image_id", *[F.col(f"partner_{c}").alias(c) for c in levels])
     a = scores.hier_loss(views.single_scores, own, _batch()).select("batch", F.col("loss").alias("a"))
@@ -97,7 +106,8 @@ def _mixup_loss(views: Views) -> DataFrame:
     )
     weights = mixed.groupBy("batch").agg(F.min("lam").alias("lam"))
     return a.join(b, "batch").join(weights, "batch").select(
-        "batch", training.mixup_loss(F.col("a"), F.col("b"), F.col("lam")).alias("loss")
+        "batch",
+        F.round(training.mixup_loss(F.col("a"), F.col("b"), F.col("lam")), 6).alias("loss"),
     )
 
 
@@ -144,6 +154,14 @@ def _saliency(views: Views) -> DataFrame:
     )
 
 
+def _mean_abs(views: Views) -> DataFrame:
+    """The vectors as four channels of sixteen cells."""
+    channels = F.array(*[F.slice("v", 1 + 16 * k, 16) for k in range(4)])
+    return views.embeddings.select(
+        "image_id", F.posexplode(ar.mean_abs_channels(channels)).alias("pos", "value")
+    ).withColumn("value", F.round("value", 6))
+
+
 _STEPS, _WIDTH = 8, 64
 
 
@@ -200,6 +218,8 @@ QUERIES = {
     ),
     "mixup": _mixup,
     "mixup_loss": _mixup_loss,
+    "beta_lambda": _beta_lambda,
+    "mean_abs_channels": _mean_abs,
     "epoch_metrics": _epochs,
     "best_epoch": _best,
     "saliency_threshold": _saliency,
@@ -219,8 +239,8 @@ _DECODED = """
 """
 
 
-def _loss_sql(views: list[str], rows: str, gates: bool, smoothing: float) -> str:
-    """Loss per batch over ``rows`` (one row per class of each judged head)."""
+def _loss_steps(rows: str, gates: bool, smoothing: float, p: str = "") -> str:
+    """Steps to the loss per batch over ``rows`` (one row per class of a judged head)."""
     sure = "and brand_top > 0.5" if gates else ""
     both = "and brand_top > 0.5 and series_top > 0.5" if gates else ""
     ce = (
@@ -229,21 +249,27 @@ def _loss_sql(views: list[str], rows: str, gates: bool, smoothing: float) -> str
         if smoothing
         else "-max(case when class_idx = label then ln(prob) end)"
     )
-    return with_views(
-        views,
-        f"""
-, ce as (select image_id, level, cast({ce} as double) as ce, max(top) as top
+    return f"""
+, {p}ce as (select image_id, level, cast({ce} as double) as ce, max(top) as top
          from {rows} group by image_id, level),
-images as (select image_id // 32 as batch, image_id,
+{p}images as (select image_id // 32 as batch, image_id,
    max(case when level = 'brand' then ce end) as b, max(case when level = 'series' then ce end) as s,
    max(case when level = 'trim' then ce end) as t,
    max(case when level = 'brand' then top end) as brand_top,
    max(case when level = 'series' then top end) as series_top
-   from ce group by image_id),
-batches as (select batch, coalesce(avg(b), cast(0 as double)) as brand_loss,
+   from {p}ce group by image_id),
+{p}batches as (select batch, coalesce(avg(b), cast(0 as double)) as brand_loss,
    coalesce(avg(case when true {sure} then s end), cast(0 as double)) as series_loss,
    coalesce(avg(case when true {both} then t end), cast(0 as double)) as trim_loss
-   from images group by batch)
+   from {p}images group by batch)
+"""
+
+
+def _loss_sql(views: list[str], rows: str, gates: bool, smoothing: float) -> str:
+    return with_views(
+        views,
+        _loss_steps(rows, gates, smoothing)
+        + """
 select batch, round(brand_loss, 6) as brand_loss, round(series_loss, 6) as series_loss,
   round(trim_loss, 6) as trim_loss,
   round(brand_loss + cast(0.5 as double) * series_loss + cast(0.25 as double) * trim_loss, 6)
@@ -253,6 +279,22 @@ from batches
     )
 
 
+_PAIRS = """
+, spots as (select *, row_number() over (partition by image_id // 32 order by image_id) as rn,
+  row_number() over (partition by image_id // 32
+    order by md5(concat(cast(image_id as string), '|42'))) as mix from labels3),
+partner as (select a.image_id, b.brand_idx, b.series_idx, b.trim_idx
+  from spots a join spots b on a.image_id // 32 = b.image_id // 32 and a.rn = b.mix),
+judged_b as (select p.*, case level when 'brand' then brand_idx when 'series' then series_idx
+    else trim_idx end as label, max(prob) over (partition by image_id, level) as top
+  from prob_long p join partner using (image_id)
+  where sample = 0 and node = case level when 'brand' then ''
+    when 'series' then cast(brand_idx as string)
+    else concat(cast(brand_idx as string), '/', cast(series_idx as string)) end)
+"""
+
+_BLEND = "brand_loss + cast(0.5 as double) * series_loss + cast(0.25 as double) * trim_loss"
+
 _MASKED_ROWS = """(
   select p.*, case level when 'brand' then brand_idx when 'series' then series_idx
       else trim_idx end as label,
@@ -363,6 +405,22 @@ select batch, round(lam, 6) as lam, image_id, partner, round(av * lam + bv * (1
 from pairs
 """,
     ),
+    "mixup_loss": with_views(
+        ["judged"],
+        _PAIRS
+        + _loss_steps("judged", True, 0.1, "a_")
+        + _loss_steps("judged_b", True, 0.1, "b_")
+        + f"""
+select batch, round(lam * a + (1 - lam) * b, 6) as loss
+from (select batch, cast((batch % 10 + 1) / 11 as double) as lam, {_BLEND} as a from a_batches)
+join (select batch, {_BLEND} as b from b_batches) using (batch)
+""",
+    ),
+    "mean_abs_channels": with_views(
+        ["vectors"],
+        "select image_id, cast(i as int) as pos, round((abs(v[1 + i]) + abs(v[17 + i]) "
+        "+ abs(v[33 + i]) + abs(v[49 + i])) / 4, 6) as value from vectors, range(0, 16) t(i)",
+    ),
     "epoch_metrics": _LOG
     + "select run, epoch, cast(0.0001 as double) as lr, "
     + ", ".join(f"round({c}, 4) as {c}" for c in _EPOCH_COLUMNS)

@@ -28,13 +28,23 @@ def _decode(c: Column) -> Column:
     return c
 
 
-def html_text(markup: Column) -> Column:
-    """Visible text of a fragment: tags gone, entities read, breaks as line feeds."""
-    c = F.regexp_replace(markup, r"[ \t\r\n\f]+", " ")
+def _untag(c: Column) -> Column:
     gap = "(?: |<!--.*?-->)*"
     c = F.regexp_replace(c, rf"(?i){gap}(<br ?/?>|</(p|div|li|tr|h[1-6])>){gap}", "\n")
-    c = F.regexp_replace(c, r"<!--.*?-->|<[^>]*>", "")
-    return let(c, lambda t: tx.strip(F.when(t.contains("&"), _decode(t)).otherwise(t)))
+    return F.regexp_replace(c, r"<!--.*?-->|<[^>]*>", "")
+
+
+def html_text(markup: Column) -> Column:
+    """Visible text of a fragment: tags gone, entities read, breaks as line feeds.
+
+    Most fragments have neither tags nor entities and skip those steps.
+    """
+    squashed = F.regexp_replace(markup, r"[ \t\r\n\f]+", " ")
+    plain = let(squashed, lambda t: F.when(t.contains("<"), _untag(t)).otherwise(t))
+    return let(
+        plain,
+        lambda t: F.btrim(F.when(t.contains("&"), _decode(t)).otherwise(t), F.lit(" \n")),
+    )
 
 
 def _elements(html: Column, tag: str) -> Column:

@@ -5,12 +5,12 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from carlot.operators import combine, heads, pricing
+from carlot.operators import combine, heads, pricing, training
 from carlot.plans.fixtures import render_pages
 from carlot.plans.score_queries import _labelled
 from carlot.schema import KEY_COLUMNS
 from carlot.session import shared_dir
-from carlot.sources import listings, pages
+from carlot.sources import images, listings, pages
 from carlot.streaming.ingest import ingest_stream, read_store
 
 
@@ -145,6 +145,36 @@ def test_heads_match_plain_gradient_descent(spark, views):
     assert np.allclose(np.array(got), w)
 
 
+def test_beta_draws_are_stable_and_in_range(spark):
+    batches = spark.range(40).withColumnRenamed("id", "batch")
+
+    def draws(df):
+        out = df.withColumn("lam", training.beta_lambda(F.col("batch")))
+        return {r.batch: r.lam for r in out.collect()}
+
+    first = draws(batches)
+    assert first == draws(batches.repartition(7))
+    assert all(0 <= x <= 1 for x in first.values()) and len(set(first.values())) > 20
+    assert batches.select(training.beta_lambda(F.col("batch"), alpha=0)).first()[0] == 1.0
+
+
+def test_mixup_pairs_rows_within_their_batch(spark, views):
+    rows = views.labels3.join(views.embeddings.select("image_id", "v"), "image_id")
+    mixed = training.mixup(rows, "image_id", "v", ["brand_idx"], batch_size=32)
+    assert mixed.count() == rows.count()
+    assert mixed.select("partner").distinct().count() == rows.count()
+    assert mixed.where("int(partner / 32) <> int(image_id / 32)").isEmpty()
+
+
+def test_image_listing_has_names_and_sizes(spark, tmp_path):
+    (tmp_path / "a.jpg").write_bytes(b"xyz")
+    (tmp_path / "b.png").write_bytes(b"x")
+    assert [(r.basename, r.length) for r in images.list_images(spark, str(tmp_path)).collect()] == [
+        ("a.jpg", 3)
+    ]
+    assert [r.readable for r in images.scan_images(spark, str(tmp_path)).collect()] == [False]
+
+
 def test_shared_folder_is_stable_and_the_configured_one_wins(spark):
     assert shared_dir(spark) == shared_dir(spark)
 
