@@ -80,6 +80,7 @@ CELLS9_CELLS = 9
 CELLS8_TABLE_CLASS = "listing-table"
 CELLS8_MIN_CELLS = 8
 CARD_PREFIX = "do-vehicle-card__"
+CARD_PARTS = ["figure", "title", "summary", "specs-summary", "price", "footer-title"]
 GRID_SECTION = ("product", "horizontal")
 GRID_SLIDE, GRID_IMAGE, GRID_TITLE = "swiper-slide", "image", "advert"
 GRID_PROPERTIES, GRID_PROPERTY = "propertyGrid", "propertyName"

@@ -7,8 +7,6 @@ rows of a page from 0 in document order, and can return the rejects instead.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from carlot.functions import text as tx
@@ -199,46 +197,42 @@ def extract_rows_cells8(pages: DataFrame, rejects: bool = False) -> DataFrame:
     return _emit(pages, parsed, rejects)
 
 
-def _card_fields(r: Column, part: Callable[[Column, str], Column]) -> Column:
-    card = r["card"]
+def _card_parts(card: Column) -> Column:
+    """Names and markup of the parts of a card, in two scans for all of them."""
+    names = "|".join(sc.CARD_PARTS)
+    pattern = "(?is)" + _opening(
+        r"(\w+)", "class", f"{sc.CARD_PREFIX}({names})", whole_word=True
+    ) + r".*?</\1>"
     return F.struct(
-        r["brand"].alias("brand"),
-        r["series"].alias("series"),
-        _image_src(part(card, "figure")).alias("img_url"),
-        html_text(part(card, "summary")).alias("trim"),
-        let(html_text(part(card, "specs-summary")), tx.split_specs).alias("specs"),
-        tx.first_line_price(html_text(part(card, "price"))).alias("price"),
-        tx.city_of(html_text(part(card, "footer-title"))).alias("city"),
+        F.regexp_extract_all(card, F.lit(pattern), F.lit(2)).alias("names"),
+        F.regexp_extract_all(card, F.lit(pattern), F.lit(0)).alias("parts"),
     )
 
 
-def extract_rows_card(pages: DataFrame, rejects: bool = False) -> DataFrame:
-    """Card dialect: one container element per ad."""
-    prefix = sc.CARD_PREFIX
-    cards = _pieces(
-        F.col("html"), _opening(r"\w+", "class", f"{prefix}container", whole_word=True)
-    )
-
-    def part(c: Column, name: str) -> Column:
-        return _by_class(c, prefix + name, whole_word=True)
+def _card_fields(r: Column) -> Column:
+    def part(name: str) -> Column:
+        at = F.array_position(r["names"], F.lit(name)).cast("int") - 1
+        return F.get(r["parts"], at)
 
-    def within(title: Column, tag: str) -> Column:
-        return html_text(_first(title, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>"))
+    def in_title(tag: str) -> Column:
+        return html_text(_first(part("title"), rf"(?is)<{tag}\b[^>]*>.*?</{tag}>"))
 
-    titled = F.transform(
-        cards, lambda c: F.struct(c.alias("card"), part(c, "title").alias("title"))
-    )
-    read = F.transform(
-        F.transform(
-            titled,
-            lambda r: F.struct(
-                r["card"].alias("card"),
-                within(r["title"], "strong").alias("brand"),
-                within(r["title"], "span").alias("series"),
-            ),
-        ),
-        lambda r: _card_fields(r, part),
+    return F.struct(
+        in_title("strong").alias("brand"),
+        in_title("span").alias("series"),
+        _image_src(part("figure")).alias("img_url"),
+        html_text(part("summary")).alias("trim"),
+        let(html_text(part("specs-summary")), tx.split_specs).alias("specs"),
+        tx.first_line_price(html_text(part("price"))).alias("price"),
+        tx.city_of(html_text(part("footer-title"))).alias("city"),
     )
+
+
+def extract_rows_card(pages: DataFrame, rejects: bool = False) -> DataFrame:
+    """Card dialect: one container element per ad."""
+    container = _opening(r"\w+", "class", f"{sc.CARD_PREFIX}container", whole_word=True)
+    cards = _pieces(F.col("html"), container)
+    read = F.transform(F.transform(cards, _card_parts), _card_fields)
     parsed = F.transform(
         read,
         lambda r: F.struct(
