@@ -86,7 +86,10 @@ def _scan_images(views: Views) -> DataFrame:
 
 
 def _extracted(site: int):
-    extract = pages.DIALECTS[site]
+    extract = [
+        pages.extract_rows_cells9, pages.extract_rows_cells8, pages.extract_rows_card,
+        pages.extract_rows_grid,
+    ][site]
     return lambda v: extract(v.rendered_pages.where(F.col("site") == site)).select(
         *KEY_COLUMNS, *IDENTITY_COLUMNS, "img_url"
     )
@@ -102,11 +105,7 @@ def _extract_rejects(views: Views) -> DataFrame:
         .when(F.col("site") == 2, F.replace(html, F.lit("Galeri, "), F.lit("")))
         .otherwise(F.replace(html, F.lit("propertyGrid"), F.lit("grid"))),
     ).where(F.col("page") % 3 == 0)
-    parts = [
-        extract(broken.where(F.col("site") == site), rejects=True)
-        for site, extract in pages.DIALECTS.items()
-    ]
-    return reduce(DataFrame.unionByName, parts).groupBy("site", "reject_reason").agg(
+    return pages.extract_listings(broken, rejects=True).groupBy("site", "reject_reason").agg(
         F.count(F.lit(1)).alias("n_rows")
     )
 

@@ -1,8 +1,9 @@
 """Listing rows out of landed HTML pages, one function per page dialect.
 
-Pages are rows of ``site, page, html``.  Every function reads the markup of one
-known dialect with regular expressions on the JVM side, numbers the accepted
-rows of a page from 0 in document order, and can return the rejects instead.
+Pages are rows of ``site, page, html``.  Every ``parse`` function reads the
+markup of one known dialect with regular expressions on the JVM side.  The
+``extract`` functions number the accepted rows of a page from 0 in document
+order, or return the rejects instead.
 """
 
 from __future__ import annotations
@@ -116,14 +117,14 @@ def _table_rows(html: Column, attribute: str, value: str) -> Column:
     return _elements(F.regexp_extract(html, pattern, 1), "tr")
 
 
-def extract_rows_cells9(pages: DataFrame, rejects: bool = False) -> DataFrame:
+def parse_cells9(html: Column) -> Column:
     """Table dialect where an ad row has exactly nine cells with text.
 
     The image sits in a cell without text; the eighth text cell is a date.
     """
     with_cells = F.filter(
         F.transform(
-            _table_rows(F.col("html"), "id", sc.CELLS9_TABLE_ID),
+            _table_rows(html, "id", sc.CELLS9_TABLE_ID),
             lambda r: F.struct(_elements(r, "td").alias("raw")),
         ),
         lambda r: F.size(r["raw"]) > 0,
@@ -135,7 +136,7 @@ def extract_rows_cells9(pages: DataFrame, rejects: bool = False) -> DataFrame:
             _image_src(F.get(r["raw"], F.lit(0))).alias("img_url"),
         ),
     )
-    parsed = F.transform(
+    return F.transform(
         read,
         lambda r: F.struct(
             *[F.get(r["cells"], F.lit(i)).alias(n) for i, n in zip(sc.CELLS9_CELL_ORDER, IDENTITY_COLUMNS)],
@@ -146,12 +147,11 @@ def extract_rows_cells9(pages: DataFrame, rejects: bool = False) -> DataFrame:
             ).alias("reject_reason"),
         ),
     )
-    return _emit(pages, parsed, rejects)
 
 
-def extract_rows_cells8(pages: DataFrame, rejects: bool = False) -> DataFrame:
+def parse_cells8(html: Column) -> Column:
     """Table dialect with a header row; the title column carries brand, series, trim."""
-    all_rows = _table_rows(F.col("html"), "class", sc.CELLS8_TABLE_CLASS)
+    all_rows = _table_rows(html, "class", sc.CELLS8_TABLE_CLASS)
     body = F.slice(all_rows, F.lit(2), F.greatest(F.size(all_rows) - 1, F.lit(0)))
     read = F.transform(
         body,
@@ -176,7 +176,7 @@ def extract_rows_cells8(pages: DataFrame, rejects: bool = False) -> DataFrame:
     def cell(r: Column, i: int) -> Column:
         return F.get(r["cells"], F.lit(i))
 
-    parsed = F.transform(
+    return F.transform(
         split_title,
         lambda r: F.struct(
             r["title"]["brand"].alias("marka"),
@@ -194,7 +194,6 @@ def extract_rows_cells8(pages: DataFrame, rejects: bool = False) -> DataFrame:
             ).alias("reject_reason"),
         ),
     )
-    return _emit(pages, parsed, rejects)
 
 
 def _card_parts(card: Column) -> Column:
@@ -228,12 +227,12 @@ def _card_fields(r: Column) -> Column:
     )
 
 
-def extract_rows_card(pages: DataFrame, rejects: bool = False) -> DataFrame:
+def parse_card(html: Column) -> Column:
     """Card dialect: one container element per ad."""
     container = _opening(r"\w+", "class", f"{sc.CARD_PREFIX}container", whole_word=True)
-    cards = _pieces(F.col("html"), container)
+    cards = _pieces(html, container)
     read = F.transform(F.transform(cards, _card_parts), _card_fields)
-    parsed = F.transform(
+    return F.transform(
         read,
         lambda r: F.struct(
             r["brand"].alias("marka"),
@@ -255,14 +254,13 @@ def extract_rows_card(pages: DataFrame, rejects: bool = False) -> DataFrame:
             ).alias("reject_reason"),
         ),
     )
-    return _emit(pages, parsed, rejects)
 
 
-def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
+def parse_grid(html: Column) -> Column:
     """Grid dialect: one section per ad, with a property list."""
     held = "".join(rf"(?=[^>]*\bclass\s*=\s*[\"'][^\"']*{word})" for word in sc.GRID_SECTION)
     opening = rf"<section\b{held}[^>]*>"
-    sections = _pieces(F.col("html"), opening)
+    sections = _pieces(html, opening)
 
     def slide_image(c: Column) -> Column:
         slide = _by_class(c, sc.GRID_SLIDE, tag="div", whole_word=True)
@@ -299,7 +297,7 @@ def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
             r.alias("raw"),
         ),
     )
-    parsed = F.transform(
+    return F.transform(
         titled,
         lambda r: F.struct(
             r["title"]["brand"].alias("marka"),
@@ -321,25 +319,38 @@ def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
             ).alias("reject_reason"),
         ),
     )
-    return _emit(pages, parsed, rejects)
 
 
 # Page dialect of each site number.
-DIALECTS = {
-    0: extract_rows_cells9,
-    1: extract_rows_cells8,
-    2: extract_rows_card,
-    3: extract_rows_grid,
-}
-
-
-def extract_listings(pages: DataFrame) -> DataFrame:
-    """Listing rows of all sites, each page read in the dialect of its site."""
-    out = None
-    for site, extract in DIALECTS.items():
-        part = extract(pages.where(F.col("site") == site))
-        out = part if out is None else out.unionByName(part)
-    return out
+DIALECTS = {0: parse_cells9, 1: parse_cells8, 2: parse_card, 3: parse_grid}
+
+
+def extract_rows_cells9(pages: DataFrame, rejects: bool = False) -> DataFrame:
+    return _emit(pages, parse_cells9(F.col("html")), rejects)
+
+
+def extract_rows_cells8(pages: DataFrame, rejects: bool = False) -> DataFrame:
+    return _emit(pages, parse_cells8(F.col("html")), rejects)
+
+
+def extract_rows_card(pages: DataFrame, rejects: bool = False) -> DataFrame:
+    return _emit(pages, parse_card(F.col("html")), rejects)
+
+
+def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
+    return _emit(pages, parse_grid(F.col("html")), rejects)
+
+
+def extract_listings(pages: DataFrame, rejects: bool = False) -> DataFrame:
+    """Listing rows of all sites, each page read in the dialect of its site.
+
+    One pass over the pages: a stream reads its files and keeps its state once.
+    """
+    parsed = None
+    for site, parse in DIALECTS.items():
+        here, rows = F.col("site") == site, parse(F.col("html"))
+        parsed = F.when(here, rows) if parsed is None else parsed.when(here, rows)
+    return _emit(pages, parsed, rejects)
 
 
 def extract_page_fields(pages: DataFrame) -> DataFrame:
