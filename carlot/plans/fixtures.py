@@ -14,6 +14,7 @@ from carlot.functions.text import basename
 from carlot.operators import cleaning
 from carlot.operators.scores import series_node, trim_node
 from carlot.schema import KEY_COLUMNS, LISTING_COLUMNS
+from carlot.session import stage
 
 
 def _text(c: Column, kind: str = "int") -> Column:
@@ -109,20 +110,22 @@ class Views:
 
     @cached_property
     def failed_images(self) -> DataFrame:
-        return (
+        return stage(
             self.listing_raw.where((F.col("page") % 13 == 0) & F.col("image_path").isNotNull())
-            .select(basename(F.col("image_path")).alias("basename")).distinct()
+            .select(basename(F.col("image_path")).alias("basename")).distinct(),
+            "failed-images",
         )
 
     @cached_property
     def image_files(self) -> DataFrame:
-        return (
+        return stage(
             self.listing_raw.where((F.col("page") % 17 != 0) & F.col("image_path").isNotNull())
             .groupBy(basename(F.col("image_path")).alias("basename"))
             .agg(
                 F.min(100 + F.col("page") % 900).cast("int").alias("width"),
                 F.min(80 + F.col("idx") % 700).cast("int").alias("height"),
-            )
+            ),
+            "image-files",
         )
 
     @cached_property
