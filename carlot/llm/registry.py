@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from carlot.llm.chat_format import op7_chat_format
 from carlot.llm.exact_dedup import dedup_report
+from carlot.llm.quality_rules import op4_quality_rules
 from carlot.llm.secret_scan import op3_secret_scan
 
 AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -14,10 +16,29 @@ def op9_exact_dedup(spark, sf_dir):
 
 QUERIES = {
     "op3_secret_scan": op3_secret_scan,
+    "op4_quality_rules": op4_quality_rules,
+    "op7_chat_format": op7_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 SQL = {
+    "op7_chat_format": r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *, length(regexp_replace(regexp_replace(regexp_replace(role || chr(0) || text,
+        '&((amp;)*(lt|lsqb);)', '&amp;\1', 'g'), '<(/?s>)', '&lt;\1', 'g'), '\[(/?INST\])', '&lsqb;\1', 'g')) + 19 AS n
+    FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       length(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
     "op9_exact_dedup": f"""
 WITH folded AS (
     SELECT doc_id, translate(coalesce(text, ''), '{AZ}', '{AZ.lower()}') AS body FROM documents
