@@ -6,6 +6,7 @@ from carlot.llm.chat_format import op7_chat_format
 from carlot.llm.exact_dedup import dedup_report
 from carlot.llm.quality_rules import op4_quality_rules
 from carlot.llm.secret_scan import op3_secret_scan
+from carlot.llm.toxicity import op10_toxicity
 
 AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op7_chat_format": op7_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL = {
