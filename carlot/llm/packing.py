@@ -149,19 +149,27 @@ def best_fit(bins: list[Bins], counts: np.ndarray, capacity: int) -> list[Bins]:
     return [b for some in open_bins for b in some]
 
 
-def plan_packing(counts: np.ndarray, capacity: int, groups: int = 96, small_part: int = 8) -> list[Bins]:
-    """All sequences for ``counts[length]`` pieces of each length up to ``capacity``."""
-    rest = counts.copy()
-    bins: list[Bins] = []
-    grouped = group_lengths(counts, capacity // small_part, groups)
-    if grouped:
-        sizes = np.array([s for s, _ in grouped])
-        demand = np.array([float(sum(c for _, c in some)) for _, some in grouped])
-        bins = substitute(grouped, configurations(sizes, demand, capacity))
-        for times, items in bins:
-            for n in items:
-                rest[n] -= times
-    return best_fit(bins, rest, capacity)
+def plan_packing(counts: np.ndarray, capacity: int, groups: int = 48, small_part: float = 3) -> list[Bins]:
+    """All sequences for ``counts[length]`` pieces of each length up to ``capacity``.
+
+    Rounding leaves gaps that small lengths may not fill.  Configured sequences
+    with a gap above a tolerance are therefore taken apart before the best fit, and
+    the tolerance that needs the fewest sequences is used.
+    """
+    grouped = group_lengths(counts, int(capacity / small_part), groups)
+    if not grouped:
+        return best_fit([], counts, capacity)
+    sizes = np.array([s for s, _ in grouped])
+    demand = np.array([float(sum(c for _, c in some)) for _, some in grouped])
+    configured = substitute(grouped, configurations(sizes, demand, capacity))
+    plans = []
+    for gap in (capacity, 64, 16, 4, 1, 0):
+        kept = [(times, items) for times, items in configured if capacity - sum(items) <= gap]
+        rest = counts.copy()
+        for times, items in kept:
+            np.subtract.at(rest, list(items), times)
+        plans.append(best_fit(kept, rest, capacity))
+    return min(plans, key=lambda bins: sum(times for times, _ in bins))
 
 
 def _runs(bins: list[Bins]) -> dict[str, np.ndarray]:
