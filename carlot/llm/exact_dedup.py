@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carlot.llm.arrow_text import whole
+
 LENGTH, HASH, COUNT, DIGEST = "__length", "__hash", "group_size", "text_sha256"
 
 
@@ -67,7 +69,7 @@ def _shared(a: bytes, b: bytes) -> int:
 
 
 def _normal(column: pa.Array, fold_case: bool) -> pa.Array:
-    column = pc.fill_null(column, "")
+    column = whole(column)
     return pc.ascii_lower(column) if fold_case else column
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from carlot.llm.chat_format import op7_chat_format
 from carlot.llm.exact_dedup import dedup_report
+from carlot.llm.ngram_join import op5_ngram_join
 from carlot.llm.packing import op6_packing
 from carlot.llm.quality_rules import op4_quality_rules
 from carlot.llm.secret_scan import op3_secret_scan
@@ -19,6 +20,7 @@ def op9_exact_dedup(spark, sf_dir):
 QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
+    "op5_ngram_join": op5_ngram_join,
     "op6_packing": op6_packing,
     "op7_chat_format": op7_chat_format,
     "op9_exact_dedup": op9_exact_dedup,

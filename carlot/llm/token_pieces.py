@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from carlot.llm.arrow_text import whole
+
 #: A run of letters, then a run of marks; either may be empty.  The tokenizer's own
 #: split parts them, so each is encoded apart.  Apostrophes and "<" stay with
 #: what surrounds them: contractions and special tokens need it.
@@ -67,7 +69,7 @@ class WordEncoder:
         """All ids, with id 0 behind each text, and the texts' offsets in them."""
         if len(self.known) > _CACHED:
             self._forget()
-        chunks = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        chunks = pc.ascii_split_whitespace(whole(texts))
         coded = chunks.flatten().dictionary_encode()
         keys, runs, odd = [], {}, {}
         for chunk in coded.dictionary.to_pylist():
@@ -113,8 +115,8 @@ _ENCODERS: dict[str, WordEncoder] = {}
 def _pieces(path: str, text: str, key: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordEncoder(path))
-        for whole in batches:
-            for batch in _slices(whole, text):
+        for full in batches:
+            for batch in _slices(full, text):
                 ids, offsets = encoder.encode(batch.column(text))
                 ids = ids.astype("<u4")
                 counts = -(-np.diff(offsets) // capacity)
