@@ -6,6 +6,7 @@ from carlot.llm.chat_format import op7_chat_format
 from carlot.llm.exact_dedup import dedup_report
 from carlot.llm.ngram_join import op5_ngram_join
 from carlot.llm.packing import op6_packing
+from carlot.llm.pii_surrogates import op1_pii
 from carlot.llm.quality_rules import op4_quality_rules
 from carlot.llm.secret_scan import op3_secret_scan
 from carlot.llm.toxicity import op10_toxicity
@@ -18,6 +19,7 @@ def op9_exact_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_join": op5_ngram_join,
