@@ -9,6 +9,7 @@ from carlot.llm.packing import op6_packing
 from carlot.llm.pii_surrogates import op1_pii
 from carlot.llm.quality_rules import op4_quality_rules
 from carlot.llm.secret_scan import op3_secret_scan
+from carlot.llm.sentencepiece_viterbi import op8_sentencepiece
 from carlot.llm.toxicity import op10_toxicity
 
 AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -25,6 +26,7 @@ QUERIES = {
     "op5_ngram_join": op5_ngram_join,
     "op6_packing": op6_packing,
     "op7_chat_format": op7_chat_format,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
