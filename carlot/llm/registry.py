@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from carlot.llm.ann_projection import op2_ann_projection
 from carlot.llm.chat_format import op7_chat_format
 from carlot.llm.exact_dedup import dedup_report
 from carlot.llm.ngram_join import op5_ngram_join
@@ -21,6 +22,7 @@ def op9_exact_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_ann_projection": op2_ann_projection,
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_join": op5_ngram_join,
