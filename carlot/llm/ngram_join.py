@@ -214,19 +214,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     return stage(both.filter(shared * 100 >= union * percent).select("a", "b"), "links")
 
 
-def similar_groups(
-    docs: DataFrame, words: int, percent: int, text: str = "text", key: str = "doc_id"
-) -> DataFrame:
-    """One row per row of ``docs``: ``key``, ``n_shingles``, ``component_id``.
+def _body(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """``docs`` with ``__text`` and ``__row``, a hash of key and text."""
+    docs = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
+    return docs.withColumn("__row", F.xxhash64(key, "__text"))
 
-    Rows link when 100 * intersection >= ``percent`` * union of their sets of
-    ``words``-word shingles; ``component_id`` is the least key that links reach.
-    A row without words, or with a null text, has no shingles and links with
-    nothing; its component is its own key.  Null keys lose to all others.
-    Shingles and classes of equal sets are told apart by 64-bit hashes.
-    """
-    docs = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    docs = docs.withColumn("__row", F.xxhash64(key, "__text"))
+
+def _grouped(docs: DataFrame, words: int, percent: int, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, __row, cls, n) of ``docs``, and (cls, first) with the component's least (key, __row)."""
     loads = docs.select("__text").mapInArrow(_count_loads(words), "slot long, n long")
     load = np.zeros(LOADS, np.int64)
     for row in loads.groupBy("slot").agg(F.sum("n").alias("n")).collect():
@@ -235,11 +230,12 @@ def similar_groups(
         [docs.schema[key], *(T.StructField(c, T.LongType()) for c in ("__row", "cls", "n")),
          T.StructField("tokens", T.ArrayType(T.LongType()))]
     )
-    rows = stage(docs.mapInArrow(_prefixes(words, percent, load, key), schema), "prefixes")
+    rows = stage(docs.select(key, "__row", "__text").mapInArrow(_prefixes(words, percent, load, key), schema), "prefixes")
+    known = F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("key"), "__row"))
     classes = stage(
         rows.filter("n > 0").groupBy("cls").agg(
-            F.min(key).alias("least"), F.min("__row").alias("__row"), F.first("n").alias("n"),
-            F.first("tokens").alias("tokens"),
+            F.coalesce(F.min(known), F.min(F.struct(F.col(key).alias("key"), "__row"))).alias("first"),
+            F.min("__row").alias("__row"), F.first("n").alias("n"), F.first("tokens").alias("tokens"),
         ),
         "classes",
     )
@@ -250,13 +246,44 @@ def similar_groups(
     spread = stage(spread.withColumn("comp", F.coalesce("component", "cls")).drop("component"), "postings")
     more = _verified(_cross_pairs(spread, percent), docs, classes, words, percent)
     tied = stage(components(links.union(more)), "components").withColumnRenamed("node", "cls")
-    named = classes.select("cls", "least").join(tied, "cls", "left")
+    named = classes.select("cls", "first").join(tied, "cls", "left")
     named = named.withColumn("component", F.coalesce("component", "cls"))
-    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "component").select("cls", "component_id")
-    linked = rows.filter("n > 0").select(key, "cls", F.col("n").alias("n_shingles")).join(named, "cls")
+    with_key = F.when(F.col("first.key").isNotNull(), F.col("first"))
+    firsts = named.groupBy("component").agg(F.coalesce(F.min(with_key), F.min("first")).alias("least"))
+    named = named.drop("first").join(firsts, "component").select("cls", F.col("least").alias("first"))
+    return rows.select(key, "__row", "cls", "n"), stage(named, "classes")
+
+
+def similar_groups(
+    docs: DataFrame, words: int, percent: int, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """One row per row of ``docs``: ``key``, ``n_shingles``, ``component_id``.
+
+    Rows link when 100 * intersection >= ``percent`` * union of their sets of
+    ``words``-word shingles; ``component_id`` is the least key that links reach.
+    A row without words, or with a null text, has no shingles and links with
+    nothing; its component is its own key.  Null keys lose to all others.
+    Shingles and classes of equal sets are told apart by 64-bit hashes.
+    """
+    rows, named = _grouped(_body(docs.select(key, text), text, key), words, percent, key)
+    linked = rows.filter("n > 0").join(named, "cls")
     alone = rows.filter("n = 0").select(key, F.col("n").alias("n_shingles"), F.col(key).alias("component_id"))
-    return linked.select(key, "n_shingles", "component_id").union(alone)
+    return linked.select(key, F.col("n").alias("n_shingles"), F.col("first.key").alias("component_id")).union(alone)
+
+
+def drop_near_copies(
+    docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """``docs`` with one document of each group of similar ones, the one with the least key.
+
+    Rows that repeat a key and its text are one document and stay or go together.
+    Documents without words stay.
+    """
+    columns = docs.columns
+    marked = _body(docs, text, key)
+    rows, named = _grouped(marked, words, percent, key)
+    gone = rows.filter("n > 0").join(named, "cls").filter("__row <> first.__row").select("__row").distinct()
+    return keep_rows(marked, stage(gone, "near-copies"), "__row", "left_anti").select(*columns)
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

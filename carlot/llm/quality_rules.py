@@ -28,11 +28,12 @@ STATS = (
 
 
 def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without its text and with a struct column ``stats`` of whole-text statistics.
+    """``docs`` with a struct column ``__stats`` of whole-text statistics.
 
     A null text counts as empty; every ratio over nothing is 0, so statistics are
     never null or NaN.
     """
+    columns = docs.columns
     docs = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     docs = docs.withColumn("__words", F.filter(F.split("__text", r"[ \t\n\r\f\x0B]+"), lambda w: w != ""))
     docs = docs.withColumn("__lines", F.split("__text", "\n"))
@@ -60,7 +61,7 @@ def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
         "commas": part(matches("[,.]+"), words),
     }
     stats = F.struct(*(values[s].cast("double").alias(s) for s in STATS))
-    return docs.withColumn("stats", stats).drop("__text", "__words", "__lines", text)
+    return docs.select(*columns, stats.alias("__stats"))
 
 
 def tree_rules(description: str) -> list[Rule]:
@@ -84,7 +85,7 @@ def rule_column(rule: Rule) -> Column:
     """1.0 where all conditions of ``rule`` hold, else 0.0."""
     whole = F.lit(True)
     for stat, sign, value in rule:
-        field = F.col("stats")[stat]
+        field = F.col("__stats")[stat]
         whole = whole & (field <= value if sign == "<=" else field > value)
     return whole.cast("double")
 
@@ -96,7 +97,7 @@ class RuleEnsemble:
         self.intercept, self.weights = intercept, weights
 
     def score(self) -> Column:
-        """The probability of a good document, over the column ``stats``."""
+        """The probability of a good document, over the column ``__stats``."""
         total = F.lit(float(self.intercept))
         for rule, weight in self.weights.items():
             total = total + rule_column(rule) * weight
@@ -106,7 +107,7 @@ class RuleEnsemble:
 def fit_rules(
     train: DataFrame, trees: int = 16, depth: int = 3, penalty: float = 0.002, seed: int = 7
 ) -> RuleEnsemble:
-    """Fit on columns ``stats`` and ``label`` (0 or 1).
+    """Fit on columns ``__stats`` and ``label`` (0 or 1).
 
     With labels of one kind only, or none, the ensemble has no rules and scores
     that kind's share, 0.5 for no rows.
@@ -115,8 +116,8 @@ def fit_rules(
     if len(counts) < 2:
         share = {0: 0.01, 1: 0.99}.get(next(iter(counts), None), 0.5)
         return RuleEnsemble(math.log(share / (1 - share)), {})
-    vector = array_to_vector(F.array(*(F.col("stats")[s] for s in STATS)))
-    rows = train.select(F.col("label").cast("double").alias("label"), vector.alias("features"), "stats")
+    vector = array_to_vector(F.array(*(F.col("__stats")[s] for s in STATS)))
+    rows = train.select(F.col("label").cast("double").alias("label"), vector.alias("features"), "__stats")
     total = sum(counts.values())
     rows = rows.withColumn(
         "weight", F.when(F.col("label") == 1, total / (2 * counts[1])).otherwise(total / (2 * counts[0]))
@@ -135,30 +136,33 @@ def fit_rules(
     return RuleEnsemble(float(lasso.intercept), weights)
 
 
-def quality_scores(
-    docs: DataFrame,
-    labels: DataFrame,
-    usable: Column,
-    sample: int = 20_000,
-    text: str = "text",
-    key: str = "doc_id",
-) -> DataFrame:
-    """Every row of ``docs`` without its text, with ``score`` and ``stats``.
-
-    ``labels`` has ``key`` and ``label``.  The ensemble learns from labelled rows
-    for which ``usable`` holds, about ``sample`` of them at most, chosen by a hash
-    of the key; everything else covers all rows.  Statistics are computed once and
-    kept in the shared folder.
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 20_000, text: str = "text", key: str = "doc_id"
+) -> RuleEnsemble:
+    """Learn from the labelled rows for which ``usable`` holds.
+
+    ``labels`` has ``key`` and ``label``.  About ``sample`` keys at most are taken,
+    by a hash of the key, and only their texts are read whole for it.
     """
-    stats = stage(with_stats(docs, text), "quality-stats")
     known = (
         labels.filter(F.col("label").isNotNull()).groupBy(key).agg(F.max("label").cast("int").alias("label"))
     )
     known = known.filter(usable)
     share = min(1.0, sample / max(1, known.count()))
     known = known.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20)))
-    train = stage(stats.select(key, "stats").join(known, key).select("stats", "label"), "quality-train")
-    return stats.withColumn("score", fit_rules(train).score())
+    rows = docs.select(key, F.col(text).alias("__body")).join(F.broadcast(known), key)
+    return fit_rules(stage(with_stats(rows, "__body").select("__stats", "label"), "quality-train"))
+
+
+def quality_scores(docs: DataFrame, model: RuleEnsemble, text: str = "text") -> DataFrame:
+    """Every row of ``docs`` with ``score``, the probability of a good document."""
+    return with_stats(docs, text).withColumn("score", model.score()).drop("__stats")
+
+
+def keep_good(docs: DataFrame, model: RuleEnsemble, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, columns unchanged."""
+    columns = docs.columns
+    return with_stats(docs, text).filter(model.score() >= least).select(*columns)
 
 
 def remainder(key: str, by: int) -> Column:
@@ -170,7 +174,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
     held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
-    scored = quality_scores(docs, labels, ~held_out)
+    scored = quality_scores(docs, fit_quality(docs, labels, ~held_out))
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )

@@ -1,24 +1,63 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: five stages over ``documents``, each written and read again."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carlot.llm.exact_dedup import COUNT, DIGEST, owners
+from carlot.llm.ngram_join import drop_near_copies
+from carlot.llm.packing import pack
+from carlot.llm.pii_surrogates import replace_pii
+from carlot.llm.quality_rules import fit_quality, keep_good, remainder
+from carlot.llm.token_pieces import token_pieces
 from carlot.session import scratch_path
 
+CAPACITY = 2048
+SECRET = "rotate-this-key"
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more; labels of the held-out third are not used."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    used = F.coalesce(remainder("doc_id", 3) != 1, F.lit(True))
+    return keep_good(docs, fit_quality(docs, labels, used))
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id stays."""
+    """Of texts that are equal but for case, the row with the largest doc_id stays."""
     return owners(docs).drop(COUNT, DIGEST)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 80 % of its five-word shingles stays."""
+    return drop_near_copies(docs, words=5, percent=80)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced; ``n_chars`` follows the text."""
+    return replace_pii(docs, SECRET).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents with their sequence and offset."""
+    return pack(token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY), CAPACITY)
+
+
+STAGES = [
+    ("quality", quality),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("pii", pii),
+    ("packing", packing),
+]
+#: No stage but the second can be said in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, with Parquet between them."""
+    """The packed corpus."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, name)
