@@ -154,18 +154,29 @@ def _matching(a: str, b: str, percent: int) -> Column:
     return (
         larger
         & (F.col(f"{b}.n") * 100 >= F.col(f"{a}.n") * percent)
-        & (F.col(f"{a}.level") <= F.col(f"{a}.ell"))
-        & (F.col(f"{b}.level") <= F.col(f"{a}.ell"))
     )
 
 
-def _enough(matches: DataFrame) -> DataFrame:
-    """Pairs with as many matches as the probe asks for."""
-    counted = matches.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("ell").alias("ell"))
-    return counted.filter("shared >= ell").select("a", "b", "shared")
+def _enough(matches: DataFrame, percent: int, part: int = 1) -> DataFrame:
+    """Pairs with as many matches as the probe asks for, and as their sizes ask for.
+
+    With all common tokens of both prefixes counted, what else two sets share lies
+    behind the prefix of the one whose prefix ends first.  ``part`` divides that
+    demand where matches were counted for some tokens only.
+    """
+    counted = matches.groupBy("a", "b").agg(
+        F.count("*").alias("shared"),
+        F.count_if(F.greatest("la", "lb") <= F.col("ell")).alias("early"),
+        F.first("ell").alias("ell"), F.first("na").alias("na"), F.first("nb").alias("nb"),
+    )
+    needed = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent)).cast("long")
+    behind = F.greatest(*(_least_overlap(F.col(n), percent) - LEVELS for n in ("na", "nb")), F.lit(0))
+    return counted.filter((F.col("early") >= F.col("ell")) & (F.col("shared") * part >= needed - behind))
 
 
-_PAIR = ("x.cls as a", "y.cls as b", "x.ell as ell")
+_PAIR = (
+    "x.cls as a", "y.cls as b", "x.ell as ell", "x.level as la", "y.level as lb", "x.n as na", "y.n as nb",
+)
 
 
 def _pivot_pairs(posted: DataFrame, percent: int) -> DataFrame:
@@ -173,11 +184,11 @@ def _pivot_pairs(posted: DataFrame, percent: int) -> DataFrame:
     pivot = posted.groupBy("token").agg(F.min(F.struct("cls", "n", "level", "ell")).alias("p")).select("token", "p.*")
     found = []
     for x, y in ((posted, pivot), (pivot, posted)):
-        x, y = x.alias("x"), y.alias("y")
-        joined = x.join(y, F.col("x.token") == F.col("y.token")).filter(_matching("x", "y", percent))
-        found.append(joined.selectExpr(*_PAIR))
-    pairs = _enough(found[0].union(found[1]))
-    best = pairs.withColumn("one", F.greatest("a", "b")).groupBy("one").agg(
+        joined = x.alias("x").join(y.alias("y"), F.col("x.token") == F.col("y.token"))
+        found.append(joined.filter(_matching("x", "y", percent)).selectExpr(*_PAIR))
+    pairs = _enough(found[0].union(found[1]), percent, 2)
+    # the pivot of a token is its least class, so the other one is the member
+    best = pairs.groupBy(F.greatest("a", "b").alias("member")).agg(
         F.max_by(F.struct("a", "b"), F.struct("shared", F.least("a", "b"))).alias("pair")
     )
     return best.select("pair.a", "pair.b")
@@ -194,7 +205,7 @@ def _cross_pairs(posted: DataFrame, percent: int) -> DataFrame:
     x = posted.join(met, ["token", "comp"]).alias("x")
     y = posted.alias("y")
     joined = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.other") == F.col("y.comp")))
-    return _enough(joined.filter(_matching("x", "y", percent)).selectExpr(*_PAIR)).select("a", "b")
+    return _enough(joined.filter(_matching("x", "y", percent)).selectExpr(*_PAIR), percent).select("a", "b")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -204,7 +215,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     rows = stage(classes.join(wanted, "cls").select("__row"), "rows")
     texts = keep_rows(docs.select("__text", "__row"), rows, "__row").select("__text")
     sets = texts.mapInArrow(_sets(words), "cls long, tokens array<long>")
-    sets = stage(sets, "sets").dropDuplicates(["cls"])
+    sets = stage(sets, "sets")  # a row that repeats gives a link that repeats
     both = (
         pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")), "a")
         .join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
