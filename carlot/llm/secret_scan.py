@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carlot.session import scratch_path
+from carlot.session import scratch_path, stage
 
 
 @dataclass(frozen=True)
@@ -144,9 +144,10 @@ def scan_versions(
             F.element_at(kinds, f["place"]).alias("kind"), f["start"].alias("start"), f["end"].alias("end")
         ),
     )
+    known = stage(known.withColumn("findings", ordered), "findings")  # a plain side lets hot blobs be split
     return (
         paths.drop(text)
-        .join(known.withColumn("findings", ordered), "blob_id", "left")
+        .join(known, "blob_id", "left")
         .withColumn("findings", F.coalesce("findings", none))
     )
 
