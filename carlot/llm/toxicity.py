@@ -147,12 +147,15 @@ def _trained(samples: list[bytes], size: int) -> bytes:
     return made[made.find(mark) + len(mark) :]
 
 
-def _window_sample(each: int):
+def _window_sample(each: int, tails: list[bytes]):
+    """Runs of windows without the classes' own stems, which only the tails shall hold."""
+    own = [b" " + s for s in tails]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for text in frame["text"]:
-                cut = windows(text)
+                cut = [w for w in windows(text) if not any(s in w for s in own)]
                 out += [b"".join(cut[i : i + 4]) for i in range(0, len(cut), max(4, len(cut) // each))][:each]
             yield pd.DataFrame({"window": out})
 
@@ -202,7 +205,7 @@ def train(
     if not own_tail:
         return Dictionaries()
     each = max(1, windows_total // (n_toxic + n_ordinary))
-    cut = sample.select("text").mapInPandas(_window_sample(each), "window binary").orderBy(F.xxhash64("window"), "window")
+    cut = sample.select("text").mapInPandas(_window_sample(each, own_tail), "window binary").orderBy(F.xxhash64("window"), "window")
     shared = _trained([bytes(r["window"]) for r in cut.collect()], body)
     tail = b" " + b"  ".join(own_tail) + b" "
     plain = (b" " + b"  ".join(other_tail) + b" ")[: len(tail)].ljust(len(tail))
