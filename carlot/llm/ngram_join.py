@@ -8,8 +8,9 @@ takes the l with the least estimated cost of its lists and candidates.
 Equal sets are one class from the start.  Candidates are first matched with one
 pivot per token, so a large group of near copies is linked by as many checks as
 it has members; only pairs of classes that are still in different components are
-then listed, through (token, component) rows, and checked.  Every candidate is
-verified on whole sets, and no list is capped.
+then listed, through (token, component) rows, and checked.  A candidate whose
+parity bitmaps differ in more bits than similar sets may differ in tokens cannot
+be similar; all others are verified on whole sets, and no list is capped.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from carlot.session import stage
 LOADS = 1 << 16
 #: The longest prefix asks for so many matches.
 LEVELS = 8
+#: Bits of a set's parity bitmap.
+PARITY = 1024
 #: Cost of checking one candidate, in postings.
 CHECK = 50.0
 #: A key list of no more rows (of one number each) may be broadcast.
@@ -52,6 +55,13 @@ def _class_of(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """One bit per slot: whether the set holds an odd number of the slot's tokens."""
+    slots = ((tokens >> np.uint64(16)) & np.uint64(PARITY - 1)).astype(np.int64)
+    odd = np.bincount(slots, minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _count_loads(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         load = np.zeros(LOADS, np.int64)
@@ -77,6 +87,8 @@ def _prefixes(words: int, percent: int, load: np.ndarray, key: str):
                     heads.append(tokens[order[: n - -(-n * percent // 100) + LEVELS]].view(np.int64))
                 offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])])
                 flat = np.concatenate(heads) if heads else np.zeros(0, np.int64)
+                bits = np.concatenate([_parity(t) for t in sets]) if sets else np.zeros(0, np.int64)
+                ends = np.arange(len(sets) + 1) * (PARITY // 64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(key),
@@ -84,8 +96,9 @@ def _prefixes(words: int, percent: int, load: np.ndarray, key: str):
                         pa.array([_class_of(s) for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bits)),
                     ],
-                    names=[key, "__row", "cls", "n", "tokens"],
+                    names=[key, "__row", "cls", "n", "tokens", "bits"],
                 )
 
     return run
@@ -120,6 +133,11 @@ def _least_overlap(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100).cast("long")
 
 
+def _least_shared(na: Column, nb: Column, percent: int) -> Column:
+    """Tokens that two sets of these sizes share if they are similar."""
+    return F.ceil((na + nb) * percent / (100 + percent)).cast("long")
+
+
 def _posted(classes: DataFrame, percent: int) -> DataFrame:
     """Postings of tokens that more than one class has, with the class's chosen ``ell``."""
     first = F.col("n") - _least_overlap(F.col("n"), percent)
@@ -169,7 +187,7 @@ def _enough(matches: DataFrame, percent: int, part: int = 1) -> DataFrame:
         F.count_if(F.greatest("la", "lb") <= F.col("ell")).alias("early"),
         F.first("ell").alias("ell"), F.first("na").alias("na"), F.first("nb").alias("nb"),
     )
-    needed = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent)).cast("long")
+    needed = _least_shared(F.col("na"), F.col("nb"), percent)
     behind = F.greatest(*(_least_overlap(F.col(n), percent) - LEVELS for n in ("na", "nb")), F.lit(0))
     return counted.filter((F.col("early") >= F.col("ell")) & (F.col("shared") * part >= needed - behind))
 
@@ -208,9 +226,26 @@ def _cross_pairs(posted: DataFrame, percent: int) -> DataFrame:
     return _enough(joined.filter(_matching("x", "y", percent)).selectExpr(*_PAIR), percent).select("a", "b")
 
 
+def _near_bits(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bitmaps leave similarity open; no similar pair goes.
+
+    The bitmaps differ in at most as many bits as the sets differ in tokens.
+    """
+    for side in ("a", "b"):
+        own = classes.select(
+            F.col("cls").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"bits_{side}")
+        )
+        pairs = pairs.join(own, side)
+    differ = F.aggregate(
+        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+    )
+    na, nb = F.col("na"), F.col("nb")
+    return pairs.filter(differ <= na + nb - 2 * _least_shared(na, nb, percent)).select("a", "b")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
-    pairs = stage(pairs, "pairs")
+    pairs = stage(_near_bits(pairs, classes, percent), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     rows = stage(classes.join(wanted, "cls").select("__row"), "rows")
     texts = keep_rows(docs.select("__text", "__row"), rows, "__row").select("__text")
@@ -239,7 +274,7 @@ def _grouped(docs: DataFrame, words: int, percent: int, key: str) -> tuple[DataF
         load[row["slot"]] = row["n"]
     schema = T.StructType(
         [docs.schema[key], *(T.StructField(c, T.LongType()) for c in ("__row", "cls", "n")),
-         T.StructField("tokens", T.ArrayType(T.LongType()))]
+         *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("tokens", "bits"))]
     )
     rows = stage(docs.select(key, "__row", "__text").mapInArrow(_prefixes(words, percent, load, key), schema), "prefixes")
     known = F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("key"), "__row"))
@@ -247,6 +282,7 @@ def _grouped(docs: DataFrame, words: int, percent: int, key: str) -> tuple[DataF
         rows.filter("n > 0").groupBy("cls").agg(
             F.coalesce(F.min(known), F.min(F.struct(F.col(key).alias("key"), "__row"))).alias("first"),
             F.min("__row").alias("__row"), F.first("n").alias("n"), F.first("tokens").alias("tokens"),
+            F.first("bits").alias("bits"),
         ),
         "classes",
     )
