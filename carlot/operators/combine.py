@@ -27,9 +27,13 @@ def assign_image_name(
 def attach_image_paths(rows: DataFrame, fetched: DataFrame) -> DataFrame:
     """Bring the path of every fetched image back to its row, by key.
 
-    A row whose image was not fetched keeps a null path.
+    A row whose image was not fetched keeps a null path.  Of several fetches of
+    one key the greatest path counts; names carry the fetch time, so that is the
+    latest.
     """
-    paths = fetched.select(*KEY_COLUMNS, blank_to_null(slash_paths(F.col("path"))).alias("path"))
+    paths = fetched.groupBy(*KEY_COLUMNS).agg(
+        F.max(blank_to_null(slash_paths(F.col("path")))).alias("path")
+    )
     return rows.drop("image_path").join(paths, KEY_COLUMNS, "left").withColumnRenamed(
         "path", "image_path"
     )

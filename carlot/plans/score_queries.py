@@ -162,7 +162,7 @@ def _mean_abs(views: Views) -> DataFrame:
     ).withColumn("value", F.round("value", 6))
 
 
-_STEPS, _WIDTH = 8, 64
+_WIDTH = 64
 
 
 def _labelled(views: Views) -> DataFrame:
@@ -175,7 +175,7 @@ def _labelled(views: Views) -> DataFrame:
 
 
 def _heads(views: Views) -> DataFrame:
-    return heads.train_node_heads(heads.node_rows(_labelled(views)), _WIDTH, steps=_STEPS)
+    return heads.train_node_heads(heads.node_rows(_labelled(views)), _WIDTH)
 
 
 def _weights(views: Views) -> DataFrame:

@@ -104,7 +104,7 @@ def _extract_rejects(views: Views) -> DataFrame:
         .when(F.col("site") == 1, F.regexp_replace(html, "<td> Beyaz\n</td>", ""))
         .when(F.col("site") == 2, F.replace(html, F.lit("Galeri, "), F.lit("")))
         .otherwise(F.replace(html, F.lit("propertyGrid"), F.lit("grid"))),
-    ).where(F.col("page") % 3 == 0)
+    )
     return pages.extract_listings(broken, rejects=True).groupBy("site", "reject_reason").agg(
         F.count(F.lit(1)).alias("n_rows")
     )
@@ -289,7 +289,7 @@ from image_pixels group by image_id
         """
 select site, case site when 0 then 'cell count' when 1 then 'no place cell' when 2 then 'no city'
   else 'no property list' end as reject_reason, count(*) as n_rows
-from listing_raw where page % 3 = 0 group by site
+from listing_raw group by site
 union all
 select 1, 'too few cells', 0 where false
 """,
@@ -317,7 +317,7 @@ wanted as (select s.*, case when kind = 'offset' then (i - 1) * 50 else i end as
   from sites s join (select c_nationkey, count(*) + 50 as pages from customer group by 1) c
     on c.c_nationkey = s.site,
     range(1, 100000) t(i)
-  where i <= case when kind = 'offset' then 20 else pages end),
+  where i <= pages),
 done as (select {_DONE} from customer)
 select site, page, concat(base_url, case when base_url like '%?%' then '&' else '?' end,
   case when kind = 'offset' then concat('pagingOffset=', cast(page as string), '&pagingSize=50')

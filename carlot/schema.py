@@ -89,6 +89,5 @@ GRID_DESCRIPTION, GRID_PRICE_BOX, GRID_PRICE = "description", "text-xs", "text-"
 # Paging.
 OFFSET_PARAMETER, SIZE_PARAMETER = "pagingOffset", "pagingSize"
 OFFSET_STEP = 50
-MAX_OFFSET = 950
 ROWS_PER_PAGE = 15
 DEFAULT_PAGES = 50

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from carlot.operators.ordering import range_chunks
 from carlot.schema import (
     DEFAULT_PAGES,
-    MAX_OFFSET,
     OFFSET_PARAMETER,
     OFFSET_STEP,
     ROWS_PER_PAGE,
@@ -44,18 +43,23 @@ def site_page_count(buttons: DataFrame, requested: int = DEFAULT_PAGES) -> DataF
     )
 
 
-def crawl_frontier(sites: DataFrame, done: DataFrame) -> DataFrame:
+def crawl_frontier(
+    sites: DataFrame, done: DataFrame, max_offset: int | None = None
+) -> DataFrame:
     """Pages still to fetch, with their addresses.
 
     ``sites`` has ``site, kind, pages, base_url``: kind ``offset`` pages by row
     offset, any other kind names the page parameter.  ``done`` has ``site, page``
-    of everything queued or fetched.
+    of everything queued or fetched.  Offsets go as far as ``pages`` says, or to
+    ``max_offset`` if given.
     """
     by_offset = F.col("kind") == "offset"
+    pages = F.col("pages").cast("long")
+    last = (pages - 1) * OFFSET_STEP if max_offset is None else F.lit(max_offset).cast("long")
     wanted = F.when(
-        by_offset, F.sequence(F.lit(0).cast("long"), F.lit(MAX_OFFSET).cast("long"),
+        by_offset, F.sequence(F.lit(0).cast("long"), last,
                               F.lit(OFFSET_STEP).cast("long"))
-    ).otherwise(F.sequence(F.lit(1).cast("long"), F.col("pages").cast("long")))
+    ).otherwise(F.sequence(F.lit(1).cast("long"), pages))
     first = F.when(F.col("base_url").contains("?"), F.lit("&")).otherwise(F.lit("?"))
     url = F.when(
         by_offset,
@@ -67,7 +71,7 @@ def crawl_frontier(sites: DataFrame, done: DataFrame) -> DataFrame:
         F.concat(F.col("base_url"), first, F.col("kind"), F.lit("="), F.col("page").cast("string"))
     )
     return (
-        sites.where(by_offset | (F.col("pages") >= 1))
+        sites.where((by_offset & (last >= 0)) | (~by_offset & (pages >= 1)))
         .select("site", "kind", "base_url", F.explode(wanted).alias("page"))
         .join(done.select("site", "page").distinct(), ["site", "page"], "left_anti")
         .select("site", "page", url.alias("url"))

@@ -8,6 +8,8 @@ order, or return the rejects instead.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from carlot.functions import text as tx
@@ -18,13 +20,37 @@ from carlot.schema import IDENTITY_COLUMNS
 _FIELDS = [*IDENTITY_COLUMNS, "img_url"]
 
 
+# Names of the standard character entities, in parallel with their characters.
+_ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+
+
+def _numbered(name: Column) -> Column:
+    """Character of '#231' or '#xE7'; null if there is no such character."""
+    digits = F.when(name.rlike("^#[0-9]{1,7}$"), F.conv(F.substring(name, 2, 7), 10, 16)).when(
+        name.rlike("(?i)^#x[0-9a-f]{1,6}$"), F.substring(name, 3, 6)
+    )
+    code = F.conv(digits, 16, 10).cast("long")
+    known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.when(known, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
+    return F.replace(char, F.lit("\u00a0"), F.lit(" "))
+
+
 def _decode(c: Column) -> Column:
-    for entity, char in [
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-        ("&apos;", "'"), ("&amp;", "&"),
-    ]:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Named and numeric entities as characters, each read once; others stay."""
+    named = F.str_to_map(
+        F.lit(",".join(f"{n}={x}" for n, x in _ENTITIES.items())), F.lit(","), F.lit("=")
+    )
+
+    def piece(p: Column) -> Column:
+        name = F.regexp_extract(p, "^(#?[0-9A-Za-z]{1,31});", 1)
+        char = F.when(name.startswith("#"), _numbered(name)).otherwise(F.try_element_at(named, name))
+        return F.coalesce(
+            F.concat(char, F.regexp_replace(p, "^[^;]*;", "")), F.concat(F.lit("&"), p)
+        )
+
+    parts = F.split(c, "&")
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), piece)
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
 
 
 def _untag(c: Column) -> Column:
@@ -65,15 +91,51 @@ def _first(c: Column, pattern: str) -> Column:
     return let(F.regexp_extract(c, pattern, 0), tx.blank_to_null)
 
 
-def _by_class(c: Column, cls: str, tag: str | None = None, whole_word: bool = False) -> Column:
+def _closed(rest: Column, tag: Column) -> Column:
+    """The element that ``rest`` starts with, up to its own closing tag.
+
+    Elements of the same tag inside it are counted; one that is never closed
+    runs to the end, as a browser reads it.
+    """
+    def balanced(c: Column) -> Column:
+        cuts = F.split(c, F.concat(F.lit("(?i)(?=</?"), tag, F.lit("\\b)")))
+        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("end"))
+
+        def walk(s: Column, cut: Column) -> Column:
+            depth = s["depth"] + F.when(cut.startswith("</"), -1).otherwise(1)
+            ends = (s["end"] == 0) & (depth == 0)
+            return F.struct(
+                (s["at"] + 1).alias("at"), depth.alias("depth"),
+                F.when(ends, s["at"]).otherwise(s["end"]).alias("end"),
+            )
+
+        return let(
+            cuts,
+            lambda a: let(
+                F.aggregate(a, start, walk)["end"],
+                lambda end: F.when(end == 0, c).otherwise(
+                    F.concat(F.array_join(F.slice(a, F.lit(1), end), ""), F.lit("</"), tag, F.lit(">"))
+                ),
+            ),
+        )
+
+    def read(c: Column) -> Column:
+        short = F.regexp_substr(c, F.concat(F.lit("(?is)^.*?</"), tag, F.lit("\\s*>")))
+        inside = F.concat(F.lit("(?is)^<[^>]*>.*<"), tag, F.lit("\\b"))
+        simple = F.when(~F.regexp_like(short, inside), short)
+        return let(simple, lambda x: F.when(x.isNotNull(), x).otherwise(balanced(c)))
+
+    return let(rest, read)
+
+
+def _by_class(c: Column, cls: str, tag: str, whole_word: bool = False) -> Column:
     """The first element with a class, tags included; null if there is none."""
-    opening = _opening(tag or r"(\w+)", "class", cls, whole_word)
-    return _first(c, "(?is)" + opening + r".*?</" + (tag or r"\1") + ">")
+    return _closed(_first(c, "(?is)" + _opening(tag, "class", cls, whole_word) + ".*"), F.lit(tag))
 
 
 def _attribute(c: Column, name: str) -> Column:
     """Value of an attribute of an opening tag; '' if it has none, null without a tag."""
-    return F.regexp_extract(c, rf"(?is)\b{name}\s*=\s*[\"']([^\"']*)[\"']", 1)
+    return F.regexp_extract(c, rf"(?is)(?<![\w-]){name}\s*=\s*([\"'])(.*?)\1", 2)
 
 
 def _image_src(c: Column) -> Column:
@@ -88,21 +150,22 @@ def _pieces(html: Column, opening: str) -> Column:
 
 def _emit(pages: DataFrame, parsed: Column, rejects: bool) -> DataFrame:
     """One row per accepted (or rejected) struct of a page."""
-    wanted = F.filter(
-        parsed,
-        (lambda r: r["reject_reason"].isNotNull())
-        if rejects
-        else (lambda r: r["reject_reason"].isNull()),
-    )
-    out = pages.select("site", "page", F.posexplode(wanted).alias("idx", "row"))
     if rejects:
-        return out.select("site", "page", F.col("row.reject_reason").alias("reject_reason"))
+        out = pages.select("site", "page", F.posexplode(parsed).alias("position", "row"))
+        return out.where(F.col("row.reject_reason").isNotNull()).select(
+            "site", "page", F.col("position").cast("long").alias("position"),
+            *[F.col(f"row.{f}").alias(f) for f in [*_FIELDS, "reject_reason"]],
+        )
+    wanted = F.filter(parsed, lambda r: r["reject_reason"].isNull())
+    kept = [c for c in ("landed_at", "digest") if c in pages.columns]
+    out = pages.select("site", "page", *kept, F.posexplode(wanted).alias("idx", "row"))
     return out.select(
         "site",
         "page",
         F.col("idx").cast("long").alias("idx"),
         *[F.col(f"row.{f}").alias(f) for f in _FIELDS],
         F.lit(None).cast("string").alias("image_path"),
+        *kept,
     )
 
 
@@ -112,9 +175,36 @@ def _reason(*checks: tuple[Column, str]) -> Column:
 
 
 def _table_rows(html: Column, attribute: str, value: str) -> Column:
-    """``<tr>`` bodies of the listing table of a page."""
-    pattern = "(?is)" + _opening("table", attribute, value, whole_word=True) + r"(.*?)</table>"
-    return _elements(F.regexp_extract(html, pattern, 1), "tr")
+    """``<tr>`` bodies of the listing table of a page.
+
+    Cells of a table inside a cell count as further cells of the outer row.
+    """
+    opening = "(?is)" + _opening("table", attribute, value, whole_word=True) + ".*"
+    table = F.coalesce(_closed(_first(html, opening), F.lit("table")), F.lit(""))
+    inner = F.regexp_replace(table, r"(?is)^<table\b[^>]*>|</table\s*>$", "")
+    return _elements(
+        let(inner, lambda t: F.when(t.rlike(r"(?i)<table\b"), _flat_tables(t)).otherwise(t)), "tr"
+    )
+
+
+def _flat_tables(inner: Column) -> Column:
+    """Markup of a table whose inner tables are reduced to their cells."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("out"))
+
+    def walk(s: Column, cut: Column) -> Column:
+        depth = (
+            s["depth"] + cut.rlike(r"(?i)^<table\b").cast("int")
+            - cut.rlike(r"(?i)^</table\b").cast("int")
+        )
+        bare = F.regexp_replace(cut, r"(?is)</?(table|thead|tbody|tfoot|tr)\b[^>]*>", "")
+        inside = F.regexp_replace(bare, r"(?is)<td\b[^>]*>", "</td><td>")
+        after = F.regexp_replace(cut, r"(?is)^</table\b[^>]*>", "")
+        return F.struct(
+            depth.alias("depth"),
+            F.concat(s["out"], F.when(depth > 0, inside).otherwise(after)).alias("out"),
+        )
+
+    return F.aggregate(F.split(inner, r"(?i)(?=</?table\b)"), start, walk)["out"]
 
 
 def parse_cells9(html: Column) -> Column:
@@ -199,12 +289,15 @@ def parse_cells8(html: Column) -> Column:
 def _card_parts(card: Column) -> Column:
     """Names and markup of the parts of a card, in two scans for all of them."""
     names = "|".join(sc.CARD_PARTS)
-    pattern = "(?is)" + _opening(
-        r"(\w+)", "class", f"{sc.CARD_PREFIX}({names})", whole_word=True
-    ) + r".*?</\1>"
-    return F.struct(
-        F.regexp_extract_all(card, F.lit(pattern), F.lit(2)).alias("names"),
-        F.regexp_extract_all(card, F.lit(pattern), F.lit(0)).alias("parts"),
+    opening = _opening(r"(\w+)", "class", f"{sc.CARD_PREFIX}({names})", whole_word=True)
+    return let(
+        _pieces(card, opening),
+        lambda cut: F.struct(
+            F.transform(cut, lambda p: F.regexp_extract(p, f"(?is)^{opening}", 2)).alias("names"),
+            F.transform(
+                cut, lambda p: _closed(p, F.regexp_extract(p, r"^<(\w+)", 1))
+            ).alias("parts"),
+        ),
     )
 
 
@@ -263,13 +356,19 @@ def parse_grid(html: Column) -> Column:
     sections = _pieces(html, opening)
 
     def slide_image(c: Column) -> Column:
-        slide = _by_class(c, sc.GRID_SLIDE, tag="div", whole_word=True)
+        opening = "(?is)" + _opening("div", "class", sc.GRID_SLIDE, whole_word=True)
+        slide = _first(c, opening + ".*")
         return _attribute(_first(slide, "(?is)" + _opening("img", "class", sc.GRID_IMAGE)), "src")
 
     def price(c: Column) -> Column:
-        box = _by_class(c, sc.GRID_PRICE_BOX, tag="div", whole_word=True)
+        boxes = F.transform(
+            _pieces(c, _opening("div", "class", sc.GRID_PRICE_BOX, whole_word=True)),
+            lambda box: html_text(
+                _by_class(_closed(box, F.lit("div")), sc.GRID_PRICE, tag="span")
+            ),
+        )
         spans = F.transform(_elements(c, "span"), html_text)
-        found = tx.price_fallback(html_text(_by_class(box, sc.GRID_PRICE, tag="span")), spans)
+        found = tx.price_fallback(F.get(F.array_compact(boxes), F.lit(0)), spans)
         return let(found, tx.ensure_tl)
 
     def property_text(item: Column) -> Column:
@@ -315,12 +414,19 @@ def parse_grid(html: Column) -> Column:
                 (r["raw"]["img_url"].isNull(), "no image"),
                 (r["raw"]["advert"].isNull(), "no title"),
                 (r["raw"]["items"].isNull(), "no property list"),
-                (F.exists(r["raw"]["items"], lambda x: x.isNull()), "no property name"),
+                (_end_unnamed(r["raw"]["items"]), "no property name"),
             ).alias("reject_reason"),
         ),
     )
 
 
+def _end_unnamed(items: Column) -> Column:
+    """Whether the first or last property has no name; the others are not read."""
+    return (F.size(items) > 0) & (
+        F.get(items, F.lit(0)).isNull() | F.get(items, F.size(items) - 1).isNull()
+    )
+
+
 # Page dialect of each site number.
 DIALECTS = {0: parse_cells9, 1: parse_cells8, 2: parse_card, 3: parse_grid}
 
@@ -342,15 +448,22 @@ def extract_rows_grid(pages: DataFrame, rejects: bool = False) -> DataFrame:
 
 
 def extract_listings(pages: DataFrame, rejects: bool = False) -> DataFrame:
-    """Listing rows of all sites, each page read in the dialect of its site.
+    """Listing rows of all sites, each page read in the dialect of its site."""
+    return _emit(parse_pages(pages), F.col("parsed"), rejects)
 
-    One pass over the pages: a stream reads its files and keeps its state once.
-    """
+
+def parse_pages(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``parsed``, the structs of their ads, in place of ``html``."""
     parsed = None
     for site, parse in DIALECTS.items():
         here, rows = F.col("site") == site, parse(F.col("html"))
         parsed = F.when(here, rows) if parsed is None else parsed.when(here, rows)
-    return _emit(pages, parsed, rejects)
+    return pages.withColumn("parsed", parsed).drop("html")
+
+
+def parsed_listings(parsed: DataFrame, rejects: bool = False) -> DataFrame:
+    """Rows of ``parse_pages``; load time and digest of a page stay with its rows."""
+    return _emit(parsed, F.col("parsed"), rejects)
 
 
 def extract_page_fields(pages: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from carlot.plans.fixtures import render_pages
 from carlot.plans.score_queries import _labelled
 from carlot.schema import KEY_COLUMNS
 from carlot.session import shared_dir
-from carlot.sources import images, listings, pages
+from carlot.sources import crawl, images, listings, pages
 from carlot.streaming.ingest import ingest_stream, read_store
 
 
@@ -186,3 +186,93 @@ def test_shared_folder_is_stable_and_the_configured_one_wins(spark):
         conf, sparkContext = Conf(), spark.sparkContext
 
     assert shared_dir(Session()) == "/somewhere/shared"
+
+
+def test_entities_are_read_once(spark):
+    given = "&#304;zmir &ouml;zel &#xC7;ok &amp;lt; &bogus; &#55296; a&b&nbsp;&#160;x"
+    df = spark.createDataFrame([(given,)], "html string")
+    assert df.select(pages.html_text(F.col("html"))).first()[0] == (
+        "İzmir özel Çok &lt; &bogus; &#55296; a&b  x"
+    )
+
+
+def _grid(slide="", title="Ford - Focus - 1.6", items="", price='<div class="text-xs"><span class="text-lg">5</span></div>'):
+    return (
+        '<main><section class="product horizontal"><div class="swiper-slide">' + slide
+        + '<img data-src="lazy" class="image" src="u"></div><div class="advert">' + title + "</div>"
+        + '<ul class="propertyGrid"><li><span class="propertyName" title="10 km">x</span></li>' + items
+        + """<li><span class="propertyName" title="Kayseri'nin yani">x</span></li></ul>"""
+        + '<small class="description">2020 Model</small>' + price + "</section></main>"
+    )
+
+
+def test_grid_sections_are_read_as_shown(spark):
+    shown = [
+        _grid(),
+        _grid(items="<li>plain</li>"),
+        _grid(slide='<div class="badge">Yeni</div>'),
+        _grid(title="<div>Ford -</div><div>Focus - 1.6</div>"),
+        _grid(price='<div class="text-xs">x</div><div class="text-xs"><span class="text-lg">5</span></div>'),
+    ]
+    df = spark.createDataFrame([(3, i, h) for i, h in enumerate(shown)], "site int, page long, html string")
+    rows = pages.extract_rows_grid(df).collect()
+    assert len(rows) == len(shown)
+    for row in rows:
+        assert (row.marka, row.seri, row.model, row.img_url) == ("Ford", "Focus", "1.6", "u")
+        assert (row.km, row.il_ilce, row.fiyat, row.yil) == ("10", "Kayseri'nin yani", "5 TL", "2020")
+
+
+def test_inner_tables_and_reject_positions(spark):
+    def row(first):
+        cells = "".join(f"<td>c{i}</td>" for i in range(8))
+        return f'<tr><td><img src="u"></td><td>{first}</td>{cells}</tr>'
+
+    inner = row("a<table><tr><td>b</td></tr></table>")
+    html = f'<table id="searchResultsTable">{inner}{row("x")}{row("y")}</table><p>end</p>'
+    df = spark.createDataFrame([(0, 1, html)], "site int, page long, html string")
+    assert [r.marka for r in pages.extract_rows_cells9(df).orderBy("idx").collect()] == ["x", "y"]
+    reject = pages.extract_rows_cells9(df, rejects=True).first()
+    assert (reject.position, reject.reject_reason, reject.img_url) == (0, "cell count", "u")
+
+
+def test_card_parts_with_the_same_tag_inside(spark):
+    parts = [
+        ("figure", "figure", '<img src="u">'), ("div", "title", "<strong>Ford</strong><span>Focus</span>"),
+        ("div", "summary", "<div>1.6</div> TDCi"), ("p", "specs-summary", "2020, 5 km"),
+        ("p", "price", "7"), ("p", "footer-title", "G, Ankara"),
+    ]
+    body = "".join(f'<{t} class="do-vehicle-card__{n}">{x}</{t}> &amp; ' for t, n, x in parts)
+    html = f'<div class="do-vehicle-card__container">{body}</div>'
+    df = spark.createDataFrame([(2, 1, html)], "site int, page long, html string")
+    row = pages.extract_rows_card(df).first()
+    assert (row.marka, row.seri, row.model, row.il_ilce) == ("Ford", "Focus", "1.6\nTDCi", "Ankara")
+
+
+def test_stream_keeps_changed_pages(spark, views, tmp_path):
+    landing, store, state = (str(tmp_path / n) for n in ("landing", "store", "state"))
+    made = render_pages(views.listing_raw).where("page % 100 = 1")
+    for title in ("Brand", "Other"):
+        made.withColumn("html", F.replace("html", F.lit("Brand"), F.lit(title))).write.mode(
+            "append"
+        ).parquet(landing)
+        ingest_stream(spark, landing, store, state, keep_keys_for="1 day").awaitTermination()
+    loaded = read_store(spark, store)
+    assert loaded.count() == 2 * pages.extract_listings(made).count()
+    assert loaded.select("landed_at").distinct().count() == 2
+
+
+def test_a_second_fetch_does_not_repeat_a_row(spark):
+    rows = spark.createDataFrame([(0, 1, 0, None)], "site int, page long, idx long, image_path string")
+    fetched = spark.createDataFrame(
+        [(0, 1, 0, "d\\1.jpg"), (0, 1, 0, "d\\2.jpg")], "site int, page long, idx long, path string"
+    )
+    assert [r.image_path for r in combine.attach_image_paths(rows, fetched).collect()] == ["d/2.jpg"]
+
+
+def test_offsets_follow_the_page_count(spark):
+    sites = spark.createDataFrame(
+        [(1, "offset", 400, "u")], "site int, kind string, pages long, base_url string"
+    )
+    done = spark.createDataFrame([], "site int, page long")
+    assert crawl.crawl_frontier(sites, done).count() == 400
+    assert crawl.crawl_frontier(sites, done, max_offset=950).count() == 20
