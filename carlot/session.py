@@ -57,9 +57,8 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
     Used where one result feeds several branches or iterations.  The lineage is
     cut, so a lost executor costs a re-read; later steps read only the columns
-    they need; and the planner knows the true size, so a join with the result is
-    broadcast only below ``spark.sql.autoBroadcastJoinThreshold`` and shuffled
-    beyond it.
+    they need; and the planner decides on broadcasts by the size of the files, which
+    is smaller than the rows in memory where values compress well.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
