@@ -18,6 +18,7 @@ _MALE = "Mr|Herr|Sr|Señor|Monsieur"
 _FEMALE = "Mrs|Ms|Miss|Frau|Sra|Srta|Señora|Madame|Mme"
 _ANY = "Dr|Prof"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_SIX = r"\d[ .()-]{0,2}" * 6  # Java wants a look-behind without repeated groups
 #: Kinds in order of precedence.  Every branch starts at a boundary and moves on in
 #: one direction, so a long run of characters costs one scan.
 KINDS = {
@@ -27,6 +28,8 @@ KINDS = {
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
+    # seven digits at least, all behind the plus sign
+    rf"(?<={_SIX}\d)"
     r"|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
     "person": rf"\b(?:{_MALE}|{_FEMALE}|{_ANY})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
 }
@@ -128,11 +131,11 @@ def _luhn(body: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
-def _name(noise: Column, last: str, canon: Column) -> Column:
-    """A name of three syllables and an ending; script as in ``canon``."""
+def _name(noise: Column, last: str, canon: Column, count: int) -> Column:
+    """A name of some syllables and an ending; script as in ``canon``."""
     syllables = [
         F.concat(_letter("bdfgklmnprstvz", _number(noise, F.lit(2 * i), 14)), _letter("aeiou", _number(noise, F.lit(2 * i + 1), 5)))
-        for i in range(3)
+        for i in range(count)
     ]
     name = F.concat(*syllables, F.lit(last))
     return (
@@ -142,40 +145,143 @@ def _name(noise: Column, last: str, canon: Column) -> Column:
     )
 
 
-def _drawn(secret: str, attempt: int) -> Column:
-    """The surrogate of the columns ``kind`` and ``canon`` at an attempt."""
+#: Values per entity that a pool has at least, so that three of four draws are free.
+ROOM = 8
+#: First octets of surrogate addresses, the next when the members outgrow the last.
+_NETWORKS = ((10, 1), (240, 16), (0, 256))
+
+
+def _syllables(members: int) -> int:
+    """Syllables in a name that is one of ``ROOM`` times as many as there are members."""
+    count = 3
+    while 70**count < ROOM * members:
+        count += 1
+    return count
+
+
+def _drawn(secret: str, attempt: int, members: dict[str, int]) -> Column:
+    """The surrogate of the columns ``kind`` and ``canon`` at an attempt.
+
+    Pools of names and addresses follow ``members``, the entities per kind; those of
+    short mail addresses grow by letters in front from the third attempt on.
+    """
     kind, canon, noise = F.col("kind"), F.col("canon"), _noise(secret, attempt)
     size = F.length(canon)
     country = F.greatest(size - 10, F.lit(0))
     tld = F.substring_index(canon, ".", -1)
     body = F.substring(canon, F.lit(1), size - F.length(tld))
+    front = [_letter("abcdefghijklmnopqrstuvwxyz", _number(noise, F.lit(59 - i), 26)) for i in range(max(0, attempt - 1))]
+    many = members.get("ip", 0)
+    base, nets = next((n for n in _NETWORKS if n[1] << 24 >= ROOM * many), _NETWORKS[-1])
     octets = [_number(noise, F.lit(i), 256).cast("string") for i in range(3)]
+    net = (_number(noise, F.lit(9), nets) + base).cast("string")
     card = F.concat(F.substring(canon, 1, 1), _digits(noise, size - 2))
+    name = lambda last, kind: _name(noise, last, canon, _syllables(members.get(kind, 0)))
     return (
-        F.when(kind == "email", F.concat(_shaped(body, noise), tld))
-        .when(kind == "ip", F.concat_ws(".", F.lit("10"), *octets))
+        F.when(kind == "email", F.concat(*front, _shaped(body, noise), tld))
+        .when(kind == "ip", F.concat_ws(".", net, *octets))
         .when(kind == "card", F.concat(card, _luhn(card)))
         .when(kind == "phone", F.concat(F.substring(canon, F.lit(1), country), _digits(noise, size - country)))
         .when(kind == "iban", F.concat(F.substring(canon, 1, 2), _shaped(F.substring(canon, F.lit(3), size), noise)))
-        .when(kind == "given_f", _name(noise, "na", canon))
-        .when(kind == "given_m", _name(noise, "ros", canon))
-        .when(kind == "given", _name(noise, "mis", canon))
-        .when(kind == "family", _name(noise, "dez", canon))
+        .when(kind == "given_f", name("na", "given_f"))
+        .when(kind == "given_m", name("ros", "given_m"))
+        .when(kind == "given", name("mis", "given"))
+        .when(kind == "family", name("dez", "family"))
         .otherwise(_digits(noise, size))
     )
 
 
+def _shape(kind: Column, canon: Column) -> Column:
+    """What a surrogate of fixed length keeps, and how many values share it."""
+    size = F.length(canon)
+    kept = F.when(kind == "phone", F.greatest(size - 10, F.lit(0))).when(kind == "card", F.lit(1)).otherwise(F.lit(0))
+    free = size - kept - F.when(kind == "card", 1).otherwise(0)
+    return F.struct(
+        F.when(kind == "ip", F.lit("")).otherwise(F.substring(canon, F.lit(1), kept)).alias("lead"),
+        F.when(kind == "ip", 4).otherwise(free).alias("free"),
+        F.when(kind == "ip", 2.0**32).otherwise(F.pow(F.lit(10.0), free)).alias("values"),
+    )
+
+
+def _stepped(secret: str, left: Column, right: Column, lefts: Column, rights: Column, label: Column) -> Column:
+    """The pair of numbers after (left, right) in a keyed order of all pairs.
+
+    The order is an alternating Feistel network: a pair is hidden, counted up by one
+    and shown again.  So all results differ, and none is its own pair.
+    """
+
+    def wave(i: Column, half: Column) -> Column:
+        hashed = F.sha2(F.concat_ws("\u0001", F.lit(secret), label, i.cast("string"), half.cast("string")), 256)
+        return F.conv(F.substring(hashed, 1, 15), 16, 10).cast("long")
+
+    def pair(left: Column, right: Column) -> Column:
+        return F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
+
+    def below(i: Column) -> Column:
+        return F.when(i % 2 == 0, lefts).otherwise(rights)
+
+    rounds = [F.lit(i) for i in range(10)]
+    hidden = F.aggregate(
+        F.array(*rounds), pair(left, right), lambda s, i: pair(s["r"], F.pmod(s["l"] + wave(i, s["r"]), below(i)))
+    )
+    turned = F.transform(
+        F.array(hidden),
+        lambda h: pair(F.when(h["r"] + 1 < rights, h["l"]).otherwise((h["l"] + 1) % lefts), (h["r"] + 1) % rights),
+    )[0]
+    return F.aggregate(
+        F.array(*reversed(rounds)), turned, lambda s, i: pair(F.pmod(s["r"] - wave(i, s["l"]), below(i)), s["l"])
+    )
+
+
+def _permuted(secret: str) -> Column:
+    """A surrogate of the same shape for kinds of fixed length, different for all values."""
+    kind, canon, lead, free = F.col("kind"), F.col("canon"), F.col("shape.lead"), F.col("shape.free")
+    label = F.concat_ws("\u0001", "kind", lead, free.cast("string"))
+    half = F.floor(free / 2).cast("int")
+    power = lambda n: F.rpad(F.lit("1"), n + 1, "0").cast("long")
+    at = F.length(lead) + 1
+    first, second = F.substring(canon, at, half).cast("long"), F.substring(canon, at + half, free - half).cast("long")
+    next_digits = _stepped(secret, first, second, power(half), power(free - half), label)
+    number = F.transform(
+        F.array(next_digits),
+        lambda p: F.concat(lead, F.lpad(p["l"].cast("string"), half, "0"), F.lpad(p["r"].cast("string"), free - half, "0")),
+    )[0]
+    octets = F.split(canon, r"\.").cast("array<long>")
+    word = F.lit(1 << 16).cast("long")
+    next_words = _stepped(
+        secret, F.get(octets, F.lit(0)) * 256 + F.get(octets, F.lit(1)), F.get(octets, F.lit(2)) * 256 + F.get(octets, F.lit(3)), word, word, label
+    )
+    address = F.transform(
+        F.array(next_words),
+        lambda p: F.concat_ws(".", *(x.cast("string") for h in ("l", "r") for x in (F.shiftright(p[h], 8), p[h] % 256))),
+    )[0]
+    return F.when(kind == "ip", address).when(kind == "card", F.concat(number, _luhn(number))).otherwise(number)
+
+
 def surrogates(entities: DataFrame, secret: str, attempts: int = 40) -> DataFrame:
     """(kind, canon, surrogate) for distinct (kind, canon): one each, all different.
 
     A draw is taken if no other entity has it and it is no entity itself; of equal
-    draws the least entity keeps it and the others go on.  An error says so if a
-    kind has more entities than surrogates.
+    draws the least entity keeps it and the others go on.  Pools of names, mail and
+    ip addresses grow with the entities.  Numbers cannot: where more than one in
+    ``ROOM`` of the values of a shape are entities, a keyed permutation of that
+    shape gives each another value, which may be an entity's.
     """
     entities = stage(entities.distinct(), "entities")
+    members = {r["kind"]: r["count"] for r in entities.groupBy("kind").count().collect()}
     left, done = entities, None
+    fixed = entities.filter(F.col("kind").isin("ssn", "phone", "card", "ip"))
+    fixed = fixed.withColumn("shape", _shape(F.col("kind"), F.col("canon")))
+    full = fixed.groupBy("kind", "shape").count().filter(F.col("count") * ROOM > F.col("shape.values"))
+    full = stage(full.select("kind", "shape"), "full-shapes")
+    if not full.isEmpty():
+        crowded = fixed.join(full, ["kind", "shape"], "left_semi")
+        done = stage(crowded.select("kind", "canon", _permuted(secret).alias("surrogate")), "surrogates")
+        left = stage(left.join(done, ["kind", "canon"], "left_anti"), "entities")
+        if left.isEmpty():
+            return done
     for attempt in range(attempts):
-        drawn = left.withColumn("surrogate", _drawn(secret, attempt))
+        drawn = left.withColumn("surrogate", _drawn(secret, attempt, members))
         taken = entities.select("kind", F.col("canon").alias("surrogate"))
         if done is not None:
             taken = taken.union(done.select("kind", "surrogate"))
@@ -200,15 +306,18 @@ def _rendered(raw: Column, kind: Column, surrogate: Column) -> Column:
             ),
         ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["used"].alias("used"))),
     )["out"]
+    # a mail address may have grown by letters in front
+    grown = F.greatest(F.length(surrogate) - F.length(raw), F.lit(0))
     cased = F.array_join(
         F.transform(
             _chars(raw),
-            lambda c, i: F.when(c.rlike(r"^\p{Lu}$"), F.upper(F.substring(surrogate, i + 1, F.lit(1)))).otherwise(
-                F.substring(surrogate, i + 1, F.lit(1))
+            lambda c, i: F.when(c.rlike(r"^\p{Lu}$"), F.upper(F.substring(surrogate, grown + i + 1, F.lit(1)))).otherwise(
+                F.substring(surrogate, grown + i + 1, F.lit(1))
             ),
         ),
         "",
     )
+    cased = F.concat(F.substring(surrogate, F.lit(1), grown), cased)
     name = F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate))
     return (
         F.when(surrogate.isNull(), raw)

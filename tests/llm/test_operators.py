@@ -244,6 +244,47 @@ def test_pii_keeps_entities_apart(spark):
     assert after.count() == before and after.join(numbers, "text").count() == 0
 
 
+def test_pii_pools_grow(spark):
+    """More surnames than three syllables spell, dense numbers and mails without letters."""
+    n = 345_000
+    names = spark.range(n).select(F.lit("family").alias("kind"), F.format_string("n%d", F.col("id")).alias("canon"))
+    phones = spark.range(9000).select(F.lit("phone").alias("kind"), F.format_string("%04d", F.col("id")).alias("canon"))
+    mails = spark.range(30).select(F.lit("email").alias("kind"), F.format_string("%d@-.com", F.col("id")).alias("canon"))
+    odd = spark.createDataFrame([("email", "_@-.com"), ("ip", "10.0.0.1")], "kind string, canon string")
+    got = pii_surrogates.surrogates(names.union(phones).union(mails).union(odd), "k")
+    per = {r.kind: r for r in got.groupBy("kind").agg(
+        F.count("*").alias("n"), F.countDistinct("canon").alias("c"), F.countDistinct("surrogate").alias("s"),
+        F.sum((F.col("canon") == F.col("surrogate")).cast("int")).alias("same"),
+        F.max(F.length("surrogate")).alias("long"),
+    ).collect()}
+    assert {k: (r.n, r.c, r.s, r.same) for k, r in per.items()} == {
+        k: (m, m, m, 0) for k, m in {"family": n, "phone": 9000, "email": 31, "ip": 1}.items()
+    }
+    assert per["phone"].long == 4
+
+
+def test_pii_permutations(spark):
+    """Each value of a shape has another one; checked on whole small spaces and on each kind."""
+    digits = spark.range(1000).select(F.lit("phone").alias("kind"), F.format_string("%03d", F.col("id")).alias("canon"))
+    some = spark.createDataFrame([("ip", "255.255.0.7"), ("card", "4550997810720808"), ("ssn", "000000000")], digits.schema)
+    shaped = digits.union(some).withColumn("shape", pii_surrogates._shape(F.col("kind"), F.col("canon")))
+    got = shaped.select("kind", "canon", pii_surrogates._permuted("k").alias("new")).toPandas()
+    phones = got[got.kind == "phone"]
+    assert set(phones.new) == set(phones.canon) and (phones.new != phones.canon).all()
+    new = got[got.kind != "phone"].set_index("kind").new
+    assert re.fullmatch(r"(\d{1,3}\.){3}\d{1,3}", new["ip"]) and re.fullmatch(r"4\d{15}", new["card"]) and re.fullmatch(r"\d{9}", new["ssn"])
+    assert not (set(new) & set(got.canon[got.kind != "phone"]))
+
+
+def test_pii_short_plus_numbers_stay(spark):
+    texts = ["at +1500 and +0200, +12 34.", "call +1 (938) 555-1226 or +4930123456", "+1500  2000000"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = {r.doc_id: r for r in pii_surrogates.replace_pii(docs, "k", counts=True).collect()}
+    assert [new[i].n_phone for i in range(3)] == [0, 2, 0]
+    assert new[0].text == texts[0] and new[2].text == texts[2] and "938" not in new[1].text
+    assert re.search(r"\+4930123456", new[1].text) is None
+
+
 def test_sentencepiece_equals_the_library(spark, odd, empty):
     model = Model(PIECES)
     texts = [t or "" for t in ODD]
