@@ -18,6 +18,10 @@ _MALE = "Mr|Herr|Sr|Señor|Monsieur"
 _FEMALE = "Mrs|Ms|Miss|Frau|Sra|Srta|Señora|Madame|Mme"
 _ANY = "Dr|Prof"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+#: A word of a name; a genitive 's is not part of it.
+_WORD = r"\p{Lu}(?:\p{L}|['-](?!s(?!\p{L}))(?=\p{L}))+"
+#: What may repeat a name without its title.
+CAPITAL = rf"(?<!\p{{L}}){_WORD}"
 _SIX = r"\d[ .()-]{0,2}" * 6  # Java wants a look-behind without repeated groups
 #: Kinds in order of precedence.  Every branch starts at a boundary and moves on in
 #: one direction, so a long run of characters costs one scan.
@@ -31,7 +35,7 @@ KINDS = {
     # seven digits at least, all behind the plus sign
     rf"(?<={_SIX}\d)"
     r"|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
-    "person": rf"\b(?:{_MALE}|{_FEMALE}|{_ANY})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
+    "person": rf"\b(?:{_MALE}|{_FEMALE}|{_ANY})\.? {_WORD}(?: {_WORD}){{0,2}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: What every entity holds: a digit, an at sign, or a title before a capital.
@@ -50,8 +54,72 @@ def kind_of(found: Column) -> Column:
     return kind.otherwise("phone")
 
 
-def _parts(found: Column, kind: Column) -> Column:
-    """What is replaced on its own within an occurrence."""
+def _gender(words: Column) -> Column:
+    """The kind that the title of a mention gives to its given names."""
+    return (
+        F.when(words[0].rlike(rf"^(?:{_MALE})\.?$"), "given_m")
+        .when(words[0].rlike(rf"^(?:{_FEMALE})\.?$"), "given_f")
+        .otherwise("given")
+    )
+
+
+def _mentions(found: Column) -> Column:
+    """Found entities with the kinds of their names, then the names of the text.
+
+    A name has one kind per text: a given name that of the first gendered title
+    in order of kinds, unless its own mention has one; a name alone behind a title is a given name if the
+    text has it as one and not as a family name.
+    """
+    titled = F.filter(found, lambda f: f.rlike(f"^(?:{KINDS['person']})$"))
+
+    def names(kind: Column | None, alone: bool = False) -> Column:
+        """Names before the last one in mentions of a kind, or the last ones."""
+
+        def of(f: Column) -> Column:
+            words = F.split(f, " ")
+            if kind is None:
+                return F.when((F.size(words) == 2) == F.lit(alone), F.slice(words, -1, 1)).otherwise(F.slice(words, 1, 0))
+            return F.when(_gender(words) == kind, F.slice(words, 2, F.size(words) - 2)).otherwise(F.slice(words, 1, 0))
+
+        return F.array_distinct(F.transform(F.flatten(F.transform(titled, of)), F.lower))
+
+    listed = F.struct(
+        *(names(F.lit(k)).alias(k) for k in ("given", "given_f", "given_m")),
+        names(None).alias("family"), names(None, alone=True).alias("alone"),
+    )
+
+    def resolved(known: Column) -> Column:
+        def sex(name: Column) -> Column:
+            return (
+                F.when(F.array_contains(known["given_f"], name), "given_f")
+                .when(F.array_contains(known["given_m"], name), "given_m")
+                .when(F.array_contains(known["given"], name), "given")
+            )
+
+        def bare(name: Column) -> Column:
+            return F.when(F.array_contains(known["family"], name), "family").otherwise(F.coalesce(sex(name), F.lit("family")))
+
+        def kinds(f: Column) -> Column:
+            words = F.split(f, " ")
+            own = _gender(words)
+            before = F.transform(
+                F.slice(words, 2, F.size(words) - 2), lambda w: F.when(own == "given", sex(F.lower(w))).otherwise(own)
+            )
+            last = F.when(F.size(words) == 2, bare(F.lower(words[1]))).otherwise("family")
+            return F.array_join(F.concat(before, F.array(last)), ",")
+
+        said = F.transform(
+            found,
+            lambda f: F.struct(f.alias("raw"), F.when(f.rlike(f"^(?:{KINDS['person']})$"), kinds(f)).otherwise("").alias("kinds")),
+        )
+        every = F.array_distinct(F.concat(*(known[k] for k in ("given_f", "given_m", "given", "family", "alone"))))
+        return F.concat(said, F.transform(every, lambda n: F.struct(n.alias("raw"), F.concat(F.lit("="), bare(n)).alias("kinds"))))
+
+    return F.transform(F.array(listed), resolved)[0]
+
+
+def _parts(found: Column, kind: Column, kinds: Column) -> Column:
+    """What is replaced on its own within an occurrence; ``kinds`` are those of its names."""
 
     def part(kind: Column, canon: Column, raw: Column, lead: Column) -> Column:
         return F.struct(lead.alias("lead"), kind.alias("kind"), canon.alias("canon"), raw.alias("raw"))
@@ -64,17 +132,11 @@ def _parts(found: Column, kind: Column) -> Column:
         .otherwise(found)
     )
     words = F.split(found, " ")
-    gender = (
-        F.when(words[0].rlike(rf"^(?:{_MALE})\.?$"), "given_m")
-        .when(words[0].rlike(rf"^(?:{_FEMALE})\.?$"), "given_f")
-        .otherwise("given")
-    )
-    names = F.transform(
-        F.slice(words, 2, 3),
-        lambda w, i: part(F.when(i == F.size(words) - 2, F.lit("family")).otherwise(gender), F.lower(w), w, F.lit(" ")),
-    )
+    each = F.split(kinds, ",")
+    names = F.transform(F.slice(words, 2, 3), lambda w, i: part(F.get(each, i), F.lower(w), w, F.lit(" ")))
     title = F.array(part(F.lit("literal"), words[0], words[0], none))
-    return F.when(kind == "person", F.concat(title, names)).otherwise(F.array(part(kind, canon, found, none))).cast(_PART)
+    alone = F.array(part(F.substring(kinds, 2, 9), found, found, none))
+    return F.when(kind == "person", F.concat(title, names)).when(kind == "name", alone).otherwise(F.array(part(kind, canon, found, none))).cast(_PART)
 
 
 def _noise(secret: str, attempt: int) -> Column:
@@ -332,10 +394,36 @@ def _count_of(types: Column, kind: str) -> Column:
     return F.size(F.filter(types, lambda t: t == kind)).cast("long")
 
 
+def _bare_replaced(text: Column, names: Column) -> Column:
+    """Capitalised words that are names of the map, whole or a part, replaced."""
+
+    def new(word: Column) -> Column:
+        known = F.try_element_at(names, F.lower(word))
+        return F.when((word == F.upper(word)) & (F.length(word) > 1), F.upper(known)).otherwise(known)
+
+    def part(p: Column) -> Column:
+        return F.coalesce(F.when(p.rlike(r"^\p{Lu}"), new(p)), p)
+
+    words = F.transform(
+        F.regexp_extract_all(text, F.lit(CAPITAL), F.lit(0)),
+        lambda w: F.coalesce(new(w), F.array_join(F.transform(F.regexp_extract_all(w, F.lit(r"\p{L}+|['-]+"), F.lit(0)), part), "")),
+    )
+    return _woven(F.split(text, CAPITAL, -1), words)
+
+
+def _woven(kept: Column, news: Column) -> Column:
+    """What is kept of a text with the new pieces between."""
+    return F.array_join(
+        F.transform(F.arrays_zip(kept.alias("k"), F.concat(news, F.array(F.lit(""))).alias("n")), lambda z: F.concat(z["k"], z["n"])),
+        "",
+    )
+
+
 def replace_pii(docs: DataFrame, secret: str, text: str = "text", counts: bool = False) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; other columns as they are.
 
-    A null text stays null.  With ``counts``, ``n_email`` and so on per kind are
+    Names that a title gives away are also replaced where the same text has them,
+    capitalised, without one.  A null text stays null.  With ``counts``, ``n_email`` and so on per kind are
     added.  Rows may repeat and keys may be null: what is joined is the list of
     entities in a text, not the row.
     """
@@ -344,37 +432,42 @@ def replace_pii(docs: DataFrame, secret: str, text: str = "text", counts: bool =
     listed = docs.withColumn("__found", F.coalesce(found, F.array().cast("array<string>")))
     with_some = listed.filter(F.size("__found") > 0).withColumn("__list", F.sha2(F.array_join("__found", "\u0001"), 256))
     lists = stage(with_some.select("__list", "__found").dropDuplicates(["__list"]), "entity-lists")
-    placed = lists.select("__list", F.posexplode("__found").alias("at", "raw"))
-    occurrences = placed.select("raw").distinct().withColumn("type", kind_of(F.col("raw")))
+    placed = lists.select("__list", F.posexplode(_mentions(F.col("__found"))).alias("at", "said"))
+    placed = placed.select("__list", "at", "said.raw", "said.kinds")
+    occurrences = placed.select("raw", "kinds").distinct()
+    occurrences = occurrences.withColumn("type", F.when(F.col("kinds").startswith("="), "name").otherwise(kind_of(F.col("raw"))))
     parts = stage(
-        occurrences.select("raw", "type", F.posexplode(_parts(F.col("raw"), F.col("type"))).alias("no", "part"))
-        .select("raw", "type", "no", "part.lead", "part.kind", "part.canon", F.col("part.raw").alias("piece")),
+        occurrences.select("raw", "kinds", "type", F.posexplode(_parts(F.col("raw"), F.col("type"), F.col("kinds"))).alias("no", "part"))
+        .select("raw", "kinds", "type", "no", "part.lead", "part.kind", "part.canon", F.col("part.raw").alias("piece")),
         "entity-parts",
     )
     known = surrogates(parts.filter("kind <> 'literal'").select("kind", "canon"), secret)
     shown = F.concat("lead", _rendered(F.col("piece"), F.col("kind"), F.col("surrogate")))
     written = (
         parts.join(known, ["kind", "canon"], "left")
-        .groupBy("raw", "type")
+        .groupBy("raw", "kinds", "type")
         .agg(F.sort_array(F.collect_list(F.struct("no", shown.alias("shown")))).alias("all"))
-        .select("raw", "type", F.array_join(F.transform("all", lambda p: p["shown"]), "").alias("new"))
+        .select("raw", "kinds", "type", F.array_join(F.transform("all", lambda p: p["shown"]), "").alias("new"))
     )
     mapped = (
-        placed.join(written, "raw")
+        placed.join(written, ["raw", "kinds"])
         .groupBy("__list")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "new", "type"))).alias("__new"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", "new", "type", "raw"))).alias("__all"))
+        .select(
+            "__list",
+            F.filter("__all", lambda n: n["type"] != "name").alias("__new"),
+            F.filter("__all", lambda n: n["type"] == "name").alias("__names"),
+        )
     )
     kept = F.split(F.col(text), PATTERN, -1)
-    news = F.transform("__new", lambda n: n["new"])
-    joined = F.array_join(
-        F.transform(F.arrays_zip(kept.alias("k"), F.concat(news, F.array(F.lit(""))).alias("n")), lambda z: F.concat(z["k"], z["n"])),
-        "",
-    )
+    names = F.map_from_arrays(F.transform("__names", lambda n: n["raw"]), F.transform("__names", lambda n: n["new"]))
+    kept = F.when(F.size("__names") > 0, F.transform(kept, lambda k: _bare_replaced(k, F.col("__map")))).otherwise(kept)
+    joined = _woven(kept, F.transform("__new", lambda n: n["new"]))
     columns = [F.col(c) for c in docs.columns]
     types = F.transform("__new", lambda n: n["type"])
     totals = [_count_of(types, k).alias(f"n_{k}") for k in KINDS] if counts else []
     zeros = [F.lit(0).cast("long").alias(f"n_{k}") for k in KINDS] if counts else []
-    changed = with_some.join(mapped, "__list").select(
+    changed = with_some.join(mapped.withColumn("__map", names).drop("__all"), "__list").select(
         *(joined.alias(text) if c == text else F.col(c) for c in docs.columns), *totals
     )
     return changed.unionByName(listed.filter(F.size("__found") == 0).select(*columns, *zeros))

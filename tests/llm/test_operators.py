@@ -244,6 +244,23 @@ def test_pii_keeps_entities_apart(spark):
     assert after.count() == before and after.join(numbers, "text").count() == 0
 
 
+def test_pii_bare_names(spark):
+    """A name has one surrogate in a text, with a title, without one and in any case."""
+    texts = [
+        "Dr. Anna Meyer wrote. Meyer said, and Anna Meyer agreed. Mrs. Anna Meyer left; MEYER's work, Meyer-led. Dr. Anna's",
+        "Meyer and Anna, by themselves, are words. Mail a@b.org.",
+        "Mr. Young is young. Dr. Jean-Luc O'Brien met Jean-Luc and O'Brien's Younger.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = {r.doc_id: r for r in pii_surrogates.replace_pii(docs, "k", counts=True).collect()}
+    a, m = re.match(r"Dr\. (\w+) (\w+) wrote", new[0].text).groups()
+    assert (a, m) != ("Anna", "Meyer") and a.endswith("na")
+    assert new[0].text == texts[0].replace("Anna", a).replace("Meyer", m).replace("MEYER", m.upper())
+    assert new[1].text.startswith("Meyer and Anna, by themselves, are words.") and new[0].n_person == 3
+    y = re.match(r"Mr\. (\w+) is young\. Dr\. (\S+) (\S+) met (\S+) and (\S+)'s Younger\.$", new[2].text)
+    assert y[1] != "Young" and y[2] == y[4] != "Jean-Luc" and y[3] == y[5] != "O'Brien"
+
+
 def test_pii_pools_grow(spark):
     """More surnames than three syllables spell, dense numbers and mails without letters."""
     n = 345_000
