@@ -12,13 +12,15 @@ looks each one up.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carlot.llm.token_pieces import token_pieces
 from carlot.session import stage
@@ -188,13 +190,16 @@ def _runs(bins: list[Bins]) -> dict[str, np.ndarray]:
 
 
 def _place(runs: dict[str, np.ndarray]):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rank = frame["__rank"].to_numpy()
-            at = np.searchsorted(runs["key"], (frame["length"].to_numpy() << 44) + rank, "right") - 1
-            frame["sequence_id"] = runs["sequence"][at] + rank - runs["first"][at]
-            frame["offset"] = runs["offset"][at]
-            yield frame.drop(columns="__rank")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rank = batch.column("__rank").to_numpy()
+            at = np.searchsorted(runs["key"], (batch.column("length").to_numpy() << 44) + rank, "right") - 1
+            found = {"sequence_id": runs["sequence"][at] + rank - runs["first"][at], "offset": runs["offset"][at]}
+            names = [n for n in batch.schema.names if n != "__rank"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in names), *(pa.array(v, pa.int64()) for v in found.values())],
+                names=[*names, *found],
+            )
 
     return run
 
@@ -204,7 +209,8 @@ def pack(pieces: DataFrame, capacity: int, per_bucket: int = 50_000) -> DataFram
 
     Pieces are ranked within their length in buckets of about ``per_bucket`` rows
     dealt by a hash of the row, so that a length that a third of the pieces share
-    is no single task.  Sequence numbers start at 0 and have no gaps.
+    is no single task.  Sequence numbers start at 0 and have no gaps.  Other columns,
+    token ids among them, go along.
     """
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     pieces = stage(pieces.select(columns), "pieces")
@@ -219,15 +225,34 @@ def pack(pieces: DataFrame, capacity: int, per_bucket: int = 50_000) -> DataFram
         dealt.groupBy("length", "__bucket").count()
         .withColumn("__ahead", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
     )
-    own = Window.partitionBy("length", "__bucket").orderBy(*columns)
+    # arrays are long to compare; rows that agree in their hash and all else are equal
+    plain = [f.name for f in pieces.schema if not isinstance(f.dataType, T.ArrayType)]
+    arrays = [c for c in columns if c not in plain]
+    own = Window.partitionBy("length", "__bucket").orderBy(*plain, *([F.xxhash64(*arrays)] if arrays else []))
     ranked = dealt.withColumn("__own", F.row_number().over(own)).join(ahead, ["length", "__bucket"])
     ranked = ranked.select(*columns, (F.col("__ahead") + F.col("__own") - 1).alias("__rank"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    schema = T.StructType([*pieces.schema.fields, *(T.StructField(c, T.LongType()) for c in ("sequence_id", "offset"))])
     runs = _runs(plan_packing(counts, capacity)) if found else _runs([(1, (1,))])
-    return ranked.mapInPandas(_place(runs), f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(_place(runs), schema)
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The column ids replaced by the crc32 of its little-endian words."""
+    for batch in batches:
+        lists = batch.column("ids")
+        ids, bounds = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy().tolist()
+        sums = [zlib.crc32(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
+        columns = [pa.array(sums, pa.int64()) if n == "ids" else batch.column(n) for n in batch.schema.names]
+        yield pa.RecordBatch.from_arrays(columns, names=["ids_crc32" if n == "ids" else n for n in batch.schema.names])
+
+
+def with_sums(placed: DataFrame) -> DataFrame:
+    """``placed`` with ids_crc32 in place of ids."""
+    fields = [T.StructField("ids_crc32", T.LongType()) if f.name == "ids" else f for f in placed.schema]
+    return placed.mapInArrow(_sums, T.StructType(fields))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None, capacity: int = 2048) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    return pack(token_pieces(docs, path, capacity), capacity)
+    return with_sums(pack(token_pieces(docs, path, capacity), capacity))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,13 +42,15 @@ class WordEncoder:
     def _forget(self) -> None:
         # part 0 is empty, part 1 is the id 0 that closes a document
         self.known: dict[str, int] = {"": 0}
-        self.sizes, self.ids = [0, 1], [np.zeros(1, np.uint32)]
+        # sizes and ids of the parts in order, in runs that encode() joins
+        self.sizes, self.ids = [np.array([0, 1], np.int64)], [np.zeros(1, np.uint32)]
 
     def _add(self, keys: list[str], ids: list[np.ndarray]) -> None:
-        for key, own in zip(keys, ids):
-            self.known[key] = len(self.sizes)
-            self.sizes.append(len(own))
-        self.ids.extend(ids)
+        if keys:
+            first = len(self.known) + 1
+            self.known.update(zip(keys, range(first, first + len(keys))))
+            self.sizes.append(np.array([len(own) for own in ids], np.int64))
+            self.ids.append(np.concatenate(ids))
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -88,8 +89,8 @@ class WordEncoder:
         pairs = np.array([(self.known[a], self.known[b]) for a, b in keys], np.int64).reshape(-1, 2)
         offsets = chunks.offsets.to_numpy() - chunks.offsets[0].as_py()
         parts = np.insert(pairs[coded.indices.to_numpy(zero_copy_only=False)].ravel(), 2 * offsets[1:], 1)
-        sizes = np.array(self.sizes, np.int64)
-        flat = np.concatenate(self.ids)
+        sizes, flat = np.concatenate(self.sizes), np.concatenate(self.ids)
+        self.sizes, self.ids = [sizes], [flat]
         starts = np.cumsum(sizes) - sizes
         long = sizes[parts]
         ends = np.cumsum(long)
@@ -98,7 +99,7 @@ class WordEncoder:
         return ids, np.concatenate([[0], ends[closing]]) if len(closing) else np.zeros(1, np.int64)
 
 
-def _slices(batch: pa.RecordBatch, text: str, limit: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, text: str, limit: int = 3 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``limit`` bytes of text, or one row."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
     start = 0
@@ -118,28 +119,29 @@ def _pieces(path: str, text: str, key: str, capacity: int):
         for full in batches:
             for batch in _slices(full, text):
                 ids, offsets = encoder.encode(batch.column(text))
-                ids = ids.astype("<u4")
                 counts = -(-np.diff(offsets) // capacity)
                 row = np.repeat(np.arange(len(counts)), counts)
                 piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
                 start = piece * capacity
                 first = offsets[row] + start
                 last = np.minimum(first + capacity, offsets[row + 1])
-                sums = [zlib.crc32(ids[a:b]) for a, b in zip(first.tolist(), last.tolist())]
+                # a text's pieces follow one another, so all ids lie in the order of the pieces
+                bounds = np.concatenate([[0], last]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(key).take(pa.array(row)), pa.array(piece, pa.int32()),
                         pa.array(start, pa.int64()), pa.array(last - first, pa.int64()),
-                        pa.array(sums, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32))),
                     ],
-                    names=[key, "piece", "start", "length", "ids_crc32"],
+                    names=[key, "piece", "start", "length", "ids"],
                 )
+                pa.default_memory_pool().release_unused()
 
     return run
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """A row per piece of a row of ``docs``: key, piece, start, length, ids_crc32.
+    """A row per piece of a row of ``docs``: key, piece, start, length, ids.
 
     A text becomes its token ids and id 0; null is empty, so every row has at
     least one piece.  Only texts of more than ``capacity`` ids are cut.
@@ -148,7 +150,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, text: str = "text",
         [
             docs.schema[key],
             T.StructField("piece", T.IntegerType()),
-            *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32")),
+            *(T.StructField(c, T.LongType()) for c in ("start", "length")),
+            T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
         ]
     )
     return docs.select(key, text).mapInArrow(_pieces(path, text, key, capacity), schema)

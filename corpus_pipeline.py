@@ -41,7 +41,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents with their sequence and offset."""
+    """Token pieces of the documents with their ids, sequence and offset."""
     return pack(token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY), CAPACITY)
 
 

@@ -1,6 +1,7 @@
 """Edge cases and brute-force comparisons of the llm operators."""
 
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -173,6 +174,21 @@ def test_packing(spark, odd, empty):
     assert packing.pack(token_pieces(empty, WORD_BPE, 64), 64).count() == 0
 
 
+def test_packing_keeps_ids(spark, odd):
+    """The ids of a document's pieces, in order, are its tokens; the digest follows from them."""
+    exact = Tokenizer.from_file(WORD_BPE)
+    placed = packing.pack(token_pieces(odd.filter("doc_id is not null and doc_id <> 3"), WORD_BPE, 64), 64)
+    rows = placed.toPandas().sort_values(["doc_id", "start"])
+    assert (rows["ids"].map(len) == rows["length"]).all() and (rows.groupby("doc_id").size() > 1).any()
+    for i, text in enumerate(ODD):
+        if i != 3:
+            ids = [int(n) for some in rows[rows.doc_id == i]["ids"] for n in some]
+            assert ids == exact.encode(text or "", add_special_tokens=False).ids + [0]
+    sums = packing.with_sums(placed).toPandas()
+    expected = {(r.doc_id, r.piece): zlib.crc32(np.array(r.ids, "<u4")) for r in rows.itertuples()}
+    assert {(r.doc_id, r.piece): r.ids_crc32 for r in sums.itertuples()} == expected
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_packs_all_and_well(seed):
     rng = np.random.default_rng(seed)
