@@ -132,10 +132,11 @@ def format_chat(records: DataFrame, key: str = "conv_id", turn: str = "turn") ->
 
     ``records`` has ``key``, ``turn`` and ``turns``.  Turns are ordered by ``turn``
     (null first), their place in the record, role and text, so repeated turns have
-    one order.  Rows with a null key form one conversation.  ``loss`` holds start
+    one order.  Rows with a null key form one conversation; one without any turns has
+    an empty text.  ``loss`` holds start
     and end in code points of ``formatted``.
     """
-    turns = records.select(key, F.col(turn).alias("__turn"), F.posexplode("turns").alias("__at", "__said"))
+    turns = records.select(key, F.col(turn).alias("__turn"), F.posexplode_outer("turns").alias("__at", "__said"))
     turns = turns.select(
         key, "__turn", "__at",
         F.col("__said.role").alias("__role"), F.col("__said.text").alias("__text"),

@@ -231,6 +231,15 @@ def test_chat_layouts(spark):
         assert found[i].layout == layout and [(t.role, t.text) for t in found[i].turns] == turns
 
 
+def test_chat_keeps_conversations_without_turns(spark):
+    """Unknown, unreadable and empty records take no conversation with them."""
+    rows = [(1, 0, '{"other": 1}'), (2, 0, None), (3, 0, '{"messages": []}'), (4, 0, '{"other": 1}'), (4, 1, '{"completion": "b"}')]
+    chats = chat_format.format_chat(chat_format.canonical_turns(spark.createDataFrame(rows, "conv_id long, turn long, record string")))
+    found = {r.conv_id: (r.formatted, [tuple(s) for s in r.loss]) for r in chats.collect()}
+    said = "<s>assistant[INST]b[/INST]</s>"
+    assert found == {1: ("", []), 2: ("", []), 3: ("", []), 4: (said, [(18, 19)])}
+
+
 def test_pii(spark, odd, empty):
     text = (
         "Mail anna.K-9@Mail4.example.com or ANNA.k-9@mail4.example.com; +1 (938) 555-1226, 4550-9978-1072-0808 and "
