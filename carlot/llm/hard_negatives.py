@@ -7,9 +7,9 @@ cover tree: the children of a node are centres further apart than the next level
 radius that cover the node's points within it.  The centre's own product and the
 node's covering radius bound all products below the node.
 
-An anchor goes down the trees best bound first.  Nodes whose products all lie outside
-of every window still open, or below what is found already, are skipped; what is left
-at the leaves is verified exactly, in whole numbers.  An anchor first visits the block
+Anchors go down the trees together, best bound first.  An anchor skips a node whose
+products all lie outside of its windows still open, or below what it has found already;
+what is left at the leaves is verified exactly, in whole numbers.  An anchor first visits the block
 it lies in itself and then, with the bounds found there, those that may hold more.
 """
 
@@ -133,19 +133,23 @@ class Block:
         square = float(parts.pop("square"))
         return cls(**own, square=square, tree=CoverTree(**parts))
 
-    def products(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    def products(self, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Whole-number products (queries x rows)."""
         some = self.vectors[rows]
-        if self.square * float(query @ query.astype(float)) < EXACT**2:  # no partial sum is larger
-            return (some.astype(float) @ query.astype(float)).astype(np.int64)
-        return some @ query
+        most = float((queries.astype(float) ** 2).sum(1).max(initial=0.0))
+        if self.square * most < EXACT**2:  # no partial sum is larger
+            return (queries.astype(float) @ some.T.astype(float)).astype(np.int64)
+        return queries @ some.T
 
 
-def product_bounds(centre: np.ndarray, radius: np.ndarray, norm: float, square: float) -> tuple[np.ndarray, np.ndarray]:
-    """(least, greatest) inner product of an anchor with the points of nodes.
+def product_bounds(centre: np.ndarray, radius: np.ndarray, norm: np.ndarray, square: float) -> tuple[np.ndarray, np.ndarray]:
+    """(least, greatest) inner product of anchors with the points of nodes (anchors x nodes).
 
-    ``centre`` has its products with the nodes' centres; points have the squared norm
-    ``square`` after augmentation, so products and distances tell one another.
+    ``centre`` has the products with the nodes' centres, ``norm`` the anchors' norms;
+    points have the squared norm ``square`` after augmentation, so products and
+    distances tell one another.
     """
+    norm = np.asarray(norm)[..., None]
     both = norm * norm + square
     away = np.sqrt(np.maximum(0.0, both - 2 * centre))
     slack = 1e-9 * both + 1e-6
@@ -154,74 +158,105 @@ def product_bounds(centre: np.ndarray, radius: np.ndarray, norm: float, square:
     return low - slack, high + slack
 
 
-def descend(
-    block: Block, query: np.ndarray, own: int, label: int, same: bool, lows: np.ndarray, highs: np.ndarray, k: int
-) -> list[tuple[int, int, int]]:
-    """(window, id, product): the ``k`` best of each window [low, high], ties to lesser ids.
+class Descent:
+    """Anchors on their way down one block's tree, with the windows they look in.
 
-    ``same`` asks for candidates of the anchor's own label, else for all others; rows
-    with the anchor's own id are none.
+    ``lows`` and ``highs`` are anchors x windows; a window with its low above its high is
+    closed.  ``found`` has, per window, rows (anchor, product, id) of the ``k`` best.
     """
-    tree, square = block.tree, block.square
-    norm = math.sqrt(float(query.astype(float) @ query.astype(float)))
-    floors = lows.astype(np.int64).copy()
-    best: list[list[tuple[int, int]]] = [[] for _ in lows]
-    right = (block.labels == label) == same
-
-    def verify(rows: np.ndarray) -> None:
-        rows = rows[right[rows]]
-        if not len(rows):
+
+    def __init__(
+        self, block: Block, queries: np.ndarray, own: np.ndarray, labels: np.ndarray, same: bool,
+        lows: np.ndarray, highs: np.ndarray, k: int,
+    ) -> None:
+        self.block, self.queries, self.own, self.labels, self.same, self.k = block, queries, own, labels, same, k
+        self.floors, self.highs = lows.astype(np.int64).copy(), highs
+        self.norms = np.sqrt((queries.astype(float) ** 2).sum(1))
+        self.found = [np.zeros((0, 3), np.int64) for _ in range(lows.shape[1])]
+
+    def open(self, anchors: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether a window of the anchor may still gain from the node (anchors x nodes)."""
+        out = np.zeros(low.shape, bool)
+        for w in range(len(self.found)):
+            floor, top = self.floors[anchors, w, None], self.highs[anchors, w, None]
+            out |= (floor <= top) & (high >= floor) & (low <= top)
+        return out
+
+    def verify(self, anchors: np.ndarray, rows: np.ndarray) -> None:
+        if not len(rows) or not len(anchors):
             return
-        products = block.products(rows, query)
-        keep = products >= floors.min()
-        for row, product in zip(rows[keep].tolist(), products[keep].tolist()):
-            for w in range(len(best)):
-                if floors[w] <= product <= highs[w]:
-                    best[w] += [(-product, i) for i in block.ids[row, : block.held[row]].tolist() if i != own]
-                    if len(best[w]) > 4 * k:
-                        settle(w)
-
-    def settle(w: int) -> None:
-        best[w] = sorted(best[w])[:k]
-        if len(best[w]) == k:
-            floors[w] = max(floors[w], -best[w][-1][0])
-
-    heap = [(-math.inf, 0)]
-    while heap:
-        top, node = heapq.heappop(heap)
-        if -top < floors.min():
-            break
-        if tree.leaves[node]:
-            at = tree.leaf[node]
-            verify(tree.rows[at : at + tree.leaves[node]])
-        else:
+        products = self.block.products(self.queries[anchors], rows)
+        least, most = self.floors[anchors].min(1), self.highs[anchors].max(1)
+        a, r = np.nonzero((products >= least[:, None]) & (products <= most[:, None]))
+        product, a, r = products[a, r], anchors[a], rows[r]
+        right = (self.block.labels[r] == self.labels[a]) == self.same
+        product, a, r = product[right], a[right], r[right]
+        # one row per identifier
+        held = self.block.held[r]
+        nth = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+        product, a, ids = np.repeat(product, held), np.repeat(a, held), self.block.ids[np.repeat(r, held), nth]
+        other = ids != self.own[a]
+        rows = np.stack([a[other], product[other], ids[other]], axis=1)
+        for w, known in enumerate(self.found):
+            fit = (rows[:, 1] >= self.floors[rows[:, 0], w]) & (rows[:, 1] <= self.highs[rows[:, 0], w])
+            if fit.any():
+                self.found[w] = self.settle(w, np.concatenate([known, rows[fit]]))
+
+    def settle(self, w: int, rows: np.ndarray) -> np.ndarray:
+        """The best rows of each anchor; full windows get a higher floor."""
+        rows = rows[np.lexsort((rows[:, 2], -rows[:, 1], rows[:, 0]))]
+        starts = np.flatnonzero(np.diff(rows[:, 0], prepend=-1))
+        nth = np.arange(len(rows)) - np.repeat(starts, np.diff(starts, append=len(rows)))
+        last = rows[nth == self.k - 1]
+        self.floors[last[:, 0], w] = np.maximum(self.floors[last[:, 0], w], last[:, 1])
+        return rows[nth < self.k]
+
+    def run(self) -> Descent:
+        tree, block = self.block.tree, self.block
+        everyone = np.arange(len(self.queries))
+        start = np.full(len(everyone), -np.inf)
+        heap = [(-math.inf, 0, everyone, start, -start)]
+        while heap:
+            _, node, anchors, low, high = heapq.heappop(heap)
+            still = self.open(anchors, low[:, None], high[:, None])[:, 0]
+            anchors = anchors[still]
+            if not len(anchors):
+                continue
+            if tree.leaves[node]:
+                at = tree.leaf[node]
+                self.verify(anchors, tree.rows[at : at + tree.leaves[node]])
+                continue
             below = np.arange(tree.child[node], tree.child[node] + tree.children[node])
-            centre = block.vectors[tree.centre[below]].astype(float) @ query
-            low, high = product_bounds(centre, tree.radius[below], norm, square)
-            open_ = ((high[:, None] >= floors) & (low[:, None] <= highs)).any(1)
             # points with nothing below them are verified together
-            single = open_ & (tree.leaves[below] == 1)
-            verify(tree.rows[tree.leaf[below[single]]])
-            for w in range(len(best)):
-                settle(w)
-            for at in np.flatnonzero(open_ & ~single):
-                heapq.heappush(heap, (-high[at], int(below[at])))
-        for w in range(len(best)):
-            settle(w)
-    return [(w, i, -p) for w, some in enumerate(best) for p, i in some]
+            single = tree.leaves[below] == 1
+            self.verify(anchors, tree.rows[tree.leaf[below[single]]])
+            below = below[~single]
+            centre = self.queries[anchors].astype(float) @ block.vectors[tree.centre[below]].T.astype(float)
+            low, high = product_bounds(centre, tree.radius[below], self.norms[anchors], block.square)
+            reach = self.open(anchors, low, high)
+            for i, child in enumerate(below.tolist()):
+                went = reach[:, i]
+                if went.any():
+                    heapq.heappush(heap, (-high[went, i].max(), child, anchors[went], low[went, i], high[went, i]))
+        return self
 
 
 def _descents(same: bool, k: int):
     def run(blocks: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for packed in blocks["block"]:
+        out = [pd.DataFrame({"no": [], "window": [], "found_id": [], "score": []}, dtype="int64")]
+        for packed in blocks["block"] if len(asked) else ():
             block = Block.unpack(packed)
-            for no, own, label, query, lows, highs in zip(
-                asked["no"], asked["id"], asked["label"], asked["vector"], asked["lows"], asked["highs"]
-            ):
-                found = descend(block, np.asarray(query, np.int64), own, label, same, np.asarray(lows), np.asarray(highs), k)
-                out += [(no, w, i, p) for w, i, p in found]
-        return pd.DataFrame(out, columns=["no", "window", "found_id", "score"])
+            windows = max(map(len, asked["lows"]))
+            lows, highs = np.full((len(asked), windows), FAR), np.full((len(asked), windows), -FAR)
+            for row, bounds in enumerate(zip(asked["lows"], asked["highs"])):
+                lows[row, : len(bounds[0])], highs[row, : len(bounds[0])] = bounds
+            queries = _stacked(asked["vector"], block.vectors.shape[1])
+            own, labels = asked["id"].to_numpy(), asked["label"].to_numpy()
+            descent = Descent(block, queries, own, labels, same, lows, highs, k).run()
+            for w, rows in enumerate(descent.found):
+                no = asked["no"].to_numpy()[rows[:, 0]]
+                out.append(pd.DataFrame({"no": no, "window": w, "found_id": rows[:, 2], "score": rows[:, 1]}))
+        return pd.concat(out)
 
     return run
 

@@ -268,9 +268,10 @@ def test_descent_skips_what_lies_outside():
     block = mining.Block.unpack(block.pack())
     verified = []
     plain = block.products
-    block.products = lambda rows, query: verified.append(len(rows)) or plain(rows, query)
-    best = mining.descend(block, vectors[0], 0, 0, True, np.array([-mining.FAR]), np.array([mining.FAR]), 5)
+    block.products = lambda queries, rows: verified.append(len(queries) * len(rows)) or plain(queries, rows)
+    one, far = np.zeros(1, np.int64), np.array([[mining.FAR]])
+    best = mining.Descent(block, vectors[:1], one, one, True, -far, far, 5).run().found[0]
     products = vectors @ vectors[0]
     want = sorted((-products[i], i) for i in range(2, 1000, 2))[:5]
-    assert [(i, p) for _, i, p in best] == [(i, -s) for s, i in want]
+    assert [(i, p) for _, p, i in best.tolist()] == [(i, -s) for s, i in want]
     assert sum(verified) < 300
