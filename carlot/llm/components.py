@@ -11,7 +11,8 @@ from carlot.session import stage
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for the nodes of ``links`` (a, b); the component is its least node.
 
-    Large-star and small-star steps alternate until no link changes.  Each round is
+    Large-star and small-star steps alternate until no link changes; more than
+    ``rounds`` rounds, which chains of 2 ** (rounds / 2) nodes do not need, are an error.  Each round is
     written to the shared folder; nothing is collected but two counts.
     """
     links = links.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v").distinct()
@@ -31,5 +32,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError(f"links still change after {rounds} rounds")
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -17,6 +17,7 @@ from carlot.llm.sharding import op11_sharding
 from carlot.llm.toxicity import op10_toxicity
 
 AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+WORD = r"[^\x20\x09-\x0D]+"
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -41,6 +42,27 @@ QUERIES = {
 }
 
 SQL = {
+    "op5_ngram_join": rf"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{AZ}', '{AZ.lower()}'), '{WORD}') AS w FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS held
+    FROM worded
+), tokens AS (
+    SELECT doc_id, len(held) AS n, unnest(held) AS token FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), tied AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached(doc_id, other) AS (
+    SELECT a, b FROM tied UNION SELECT reached.doc_id, tied.b FROM reached JOIN tied ON reached.other = tied.a
+)
+SELECT sets.doc_id, any_value(len(held)) AS n_shingles, coalesce(min(other), sets.doc_id) AS component_id
+FROM sets LEFT JOIN reached USING (doc_id) GROUP BY sets.doc_id
+""",
     "op7_chat_format": r"""
 WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
