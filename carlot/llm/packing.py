@@ -253,6 +253,7 @@ def with_sums(placed: DataFrame) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None, capacity: int = 2048) -> DataFrame:
+    """Places of all token pieces, with a digest of their ids instead of these."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    return with_sums(pack(token_pieces(docs, path, capacity), capacity))
+    return pack(token_pieces(docs, path, capacity, sums=True).drop("ids"), capacity)

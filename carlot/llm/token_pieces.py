@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,21 +13,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from carlot.llm.arrow_text import whole
+from carlot.llm.arrow_text import byte_slices, whole
 
 #: A run of letters, then a run of marks; either may be empty.  The tokenizer's own
 #: split parts them, so each is encoded apart.  Apostrophes and "<" stay with
 #: what surrounds them: contractions and special tokens need it.
 _PARTS = re.compile(r"([^\W\d_]*)([.,!?;:#$%&*|()\"@=+-]*)")
-_CACHED = 400_000
+#: Bytes that an encoder remembers, about; the process forgets all beyond.
+CACHED = 32 << 20
+#: Bytes of one remembered part besides its text and ids.
+_ENTRY = 150
 
 
 class WordEncoder:
     """Encodes texts through their distinct parts.
 
     White space parts tokens in this tokenizer, so a text's ids are those of its
-    white-space separated chunks in order.  Ids of parts are remembered, up to a
-    fixed number of parts.
+    white-space separated chunks in order.  Ids of parts are remembered, up to a fixed
+    number of bytes; what a batch with longer parts adds is forgotten behind it.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,6 +48,7 @@ class WordEncoder:
         self.known: dict[str, int] = {"": 0}
         # sizes and ids of the parts in order, in runs that encode() joins
         self.sizes, self.ids = [np.array([0, 1], np.int64)], [np.zeros(1, np.uint32)]
+        self.used = 0
 
     def _add(self, keys: list[str], ids: list[np.ndarray]) -> None:
         if keys:
@@ -51,6 +56,7 @@ class WordEncoder:
             self.known.update(zip(keys, range(first, first + len(keys))))
             self.sizes.append(np.array([len(own) for own in ids], np.int64))
             self.ids.append(np.concatenate(ids))
+            self.used += sum(map(len, keys)) + 4 * len(self.ids[-1]) + _ENTRY * len(keys)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -68,7 +74,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with id 0 behind each text, and the texts' offsets in them."""
-        if len(self.known) > _CACHED:
+        if self.used > CACHED:
             self._forget()
         chunks = pc.ascii_split_whitespace(whole(texts))
         coded = chunks.flatten().dictionary_encode()
@@ -99,25 +105,14 @@ class WordEncoder:
         return ids, np.concatenate([[0], ends[closing]]) if len(closing) else np.zeros(1, np.int64)
 
 
-def _slices(batch: pa.RecordBatch, text: str, limit: int = 3 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``limit`` bytes of text, or one row."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(sizes):
-        done = sizes[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(sizes, done + limit, "right")))
-        yield batch.slice(start, end - start)
-        start = end
-
-
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def _pieces(path: str, text: str, key: str, capacity: int):
+def _pieces(path: str, text: str, key: str, capacity: int, sums: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordEncoder(path))
         for full in batches:
-            for batch in _slices(full, text):
+            for batch in byte_slices(full, text, 1 << 20):
                 ids, offsets = encoder.encode(batch.column(text))
                 counts = -(-np.diff(offsets) // capacity)
                 row = np.repeat(np.arange(len(counts)), counts)
@@ -127,24 +122,28 @@ def _pieces(path: str, text: str, key: str, capacity: int):
                 last = np.minimum(first + capacity, offsets[row + 1])
                 # a text's pieces follow one another, so all ids lie in the order of the pieces
                 bounds = np.concatenate([[0], last]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(key).take(pa.array(row)), pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int64()), pa.array(last - first, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32))),
-                    ],
-                    names=[key, "piece", "start", "length", "ids"],
-                )
+                columns = {
+                    key: batch.column(key).take(pa.array(row)), "piece": pa.array(piece, pa.int32()),
+                    "start": pa.array(start, pa.int64()), "length": pa.array(last - first, pa.int64()),
+                    "ids": pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32))),
+                }
+                if sums:
+                    words, ends = ids.astype("<u4"), bounds.tolist()
+                    columns["ids_crc32"] = pa.array([zlib.crc32(words[a:b]) for a, b in zip(ends, ends[1:])], pa.int64())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
                 pa.default_memory_pool().release_unused()
 
     return run
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int, text: str = "text", key: str = "doc_id") -> DataFrame:
+def token_pieces(
+    docs: DataFrame, path: str, capacity: int, text: str = "text", key: str = "doc_id", sums: bool = False
+) -> DataFrame:
     """A row per piece of a row of ``docs``: key, piece, start, length, ids.
 
     A text becomes its token ids and id 0; null is empty, so every row has at
-    least one piece.  Only texts of more than ``capacity`` ids are cut.
+    least one piece.  Only texts of more than ``capacity`` ids are cut.  With ``sums``
+    there is also ids_crc32, of the ids as little-endian unsigned 32-bit numbers.
     """
     schema = T.StructType(
         [
@@ -152,6 +151,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, text: str = "text",
             T.StructField("piece", T.IntegerType()),
             *(T.StructField(c, T.LongType()) for c in ("start", "length")),
             T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+            *([T.StructField("ids_crc32", T.LongType())] if sums else []),
         ]
     )
-    return docs.select(key, text).mapInArrow(_pieces(path, text, key, capacity), schema)
+    return docs.select(key, text).mapInArrow(_pieces(path, text, key, capacity, sums), schema)
