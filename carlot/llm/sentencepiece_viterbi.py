@@ -24,10 +24,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carlot.llm.arrow_text import byte_slices
+
 SPACE = "▁"
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-_CACHED = 800_000
-_SLICE = 2000
+#: Bytes that a model remembers of words and pairs, about; the process forgets all beyond.
+CACHED = 64 << 20
+#: Bytes of a remembered word or pair besides its text.
+_ENTRY = 260
+#: Longer words are encoded each time.
+LONG = 100
 
 
 class Model:
@@ -53,11 +59,12 @@ class Model:
             self.spelled[i] = bytes([value])
         if self.unknown >= 0:
             self.spelled[self.unknown] = " ⁇ ".encode()
-        self.apart: dict[tuple[str, str], bool] = {}
         self.forget()
 
     def forget(self) -> None:
+        self.apart: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
+        self.used = 0
         self.starts: list[int] = [0]
         self.best: list[float] = [0.0]
         self.last = ""
@@ -77,9 +84,8 @@ class Model:
         """Whether merging ``a`` + ``b`` ends at these two; ``a`` may be empty."""
         known = self.apart.get((a, b))
         if known is None:
-            if len(self.apart) > _CACHED:
-                self.apart.clear()
             known = self.apart[a, b] = self.merged(a + b) == ([a, b] if a else [b])
+            self.used += len(a) + len(b) + _ENTRY
         return known
 
     def _step(self, word: str, end: int) -> tuple[int, float]:
@@ -142,10 +148,18 @@ class Model:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         split = [self.words(t) for t in texts]
-        if len(self.known) > _CACHED:
+        if self.used > CACHED:
             self.forget()
+        long = {}
         for word in sorted(set().union(*split) - self.known.keys()):
-            self.known[word] = np.array(self._numbers(self._walk(word)), "<i4").tobytes()
+            ids = np.array(self._numbers(self._walk(word)), "<i4").tobytes()
+            if len(word) > LONG:
+                long[word] = ids
+            else:
+                self.known[word] = ids
+                self.used += 2 * len(word) + len(ids) + _ENTRY
+        if long:
+            return [b"".join([long.get(w) or self.known[w] for w in words]) for words in split]
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -166,8 +180,7 @@ def _encoded(path: str, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
         for whole in batches:
-            for at in range(0, whole.num_rows, _SLICE):
-                batch = whole.slice(at, _SLICE)
+            for batch in byte_slices(whole, text, 1 << 20):
                 ids = model.encode([t or "" for t in batch.column(text).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])])
                 flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
@@ -180,13 +193,11 @@ def _encoded(path: str, text: str):
 def _decoded(path: str, ids: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
-        for whole in batches:
-            for at in range(0, whole.num_rows, _SLICE):
-                batch = whole.slice(at, _SLICE)
-                texts = [model.decode(x.values.to_numpy()) if x.is_valid else None for x in batch.column(ids)]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
-                )
+        for batch in batches:
+            texts = [model.decode(x.values.to_numpy()) if x.is_valid else None for x in batch.column(ids)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
+            )
 
     return run
 
@@ -206,11 +217,19 @@ def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return docs.mapInArrow(_decoded(path, ids), T.StructType([*docs.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``, both in one pass of a task's worker."""
+    docs = docs.drop("ids", "decoded")
+    there, back = _encoded(path, text), _decoded(path, "ids")
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    return docs.mapInArrow(lambda batches: back(there(batches)), T.StructType([*docs.schema.fields, *fields]))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     """Ids of every document, their digest, and whether decoding gives the text again."""
     path = model or public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = decode(encode(docs, path), path)
+    both = encode_and_decode(docs, path)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_ids"),
