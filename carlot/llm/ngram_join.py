@@ -46,10 +46,10 @@ PARITY = 512
 POSTING = ["cls", "n", "ell", "centre", *(f"bits{i}" for i in range(PARITY // 64))]
 #: Cost of checking one candidate, in postings.
 CHECK = 5.0
-#: Pivots go on while listing all pairs left would make more than so many rows for each
-#: posting, and one of so many pivot pairs holds.
-LISTED = 16
-WORTH = 8
+#: After the first round, pivots go on while listing all pairs left would compare more than
+#: so many postings with each, and one of so many pivot pairs holds.
+LISTED = 200
+WORTH = 4
 #: A key list of no more rows (of one number each) may be broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -385,7 +385,7 @@ def _tied(sets: DataFrame, percent: int) -> DataFrame:
     """(node, component) of the classes that have links."""
     spread = _spread(_posted(sets, percent), None)
     links, turn = sets.sparkSession.createDataFrame([], "a long, b long"), 0
-    while _cross_cost(spread) > LISTED:
+    while turn == 0 or _cross_cost(spread) > LISTED:
         pairs = stage(_pivot_pairs(spread, percent, turn), "pivots")
         new = _verified(pairs, sets, percent).select("a", "b")
         links = links.union(new)
