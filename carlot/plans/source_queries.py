@@ -14,7 +14,7 @@ from carlot.plans.sql_views import with_views
 from carlot.schema import IDENTITY_COLUMNS, KEY_COLUMNS, KEYED_LISTING_RAW, LISTING_COLUMNS
 from carlot.session import scratch_path
 from carlot.sources import crawl, images, listings, pages
-from carlot.streaming.ingest import ingest_stream, read_store
+from carlot.streaming.ingest import ingest_stream, read_latest, read_rejects, read_store
 
 _ALL = [*KEY_COLUMNS, *LISTING_COLUMNS]
 _QUOTED = "case when page % 5 = 0 then concat(baslik, ' \"x\",', chr(10), 'y') else baslik end"
@@ -29,6 +29,30 @@ def _read_listings(views: Views) -> DataFrame:
     return listings.read_listings(views.spark, path, KEYED_LISTING_RAW).select(*_ALL)
 
 
+def _written_out_of_order(views: Views) -> str:
+    """Listings as CSV with columns in another order and one more, and in files of their own
+    every tenth page's rows cut behind the second field."""
+    path = scratch_path(views.spark, "listings-csv")
+    columns = [*reversed(LISTING_COLUMNS), "seen", *KEY_COLUMNS]
+    whole = views.listing_raw.withColumn("seen", F.lit("x")).select(*columns)
+    whole.write.option("header", True).option("escape", '"').csv(path)
+    cut = views.listing_raw.where("page % 10 = 0").select(F.concat_ws(",", "marka", "seri").alias(",".join(columns)))
+    cut.write.mode("append").option("header", True).option("sep", "\x01").csv(path)
+    return path
+
+
+def _read_listings_by_name(views: Views) -> DataFrame:
+    rows = listings.read_listings(views.spark, _written_out_of_order(views), KEYED_LISTING_RAW)
+    return rows.select(*_ALL)
+
+
+def _read_listing_rejects(views: Views) -> DataFrame:
+    """Records that have not as many fields as the header, by their text."""
+    path = _written_out_of_order(views)
+    found = listings.read_listings(views.spark, path, KEYED_LISTING_RAW, rejects=True)
+    return found.groupBy("record").agg(F.count(F.lit(1)).alias("n_records"))
+
+
 def _append_listings(views: Views) -> DataFrame:
     """Two appends to one store."""
     path = scratch_path(views.spark, "listings-store")
@@ -95,16 +119,21 @@ def _extracted(site: int):
     )
 
 
-def _extract_rejects(views: Views) -> DataFrame:
-    """Rows that lose their last cell, image or city on the way, by reason."""
+def _broken_pages(views: Views) -> DataFrame:
+    """Pages whose rows lose their last cell, place, city or property list."""
     html = F.col("html")
-    broken = views.rendered_pages.withColumn(
+    return views.rendered_pages.withColumn(
         "html",
         F.when(F.col("site") == 0, F.regexp_replace(html, "<td> 1 Ocak\n</td>", ""))
         .when(F.col("site") == 1, F.regexp_replace(html, "<td> Beyaz\n</td>", ""))
         .when(F.col("site") == 2, F.replace(html, F.lit("Galeri, "), F.lit("")))
         .otherwise(F.replace(html, F.lit("propertyGrid"), F.lit("grid"))),
     )
+
+
+def _extract_rejects(views: Views) -> DataFrame:
+    """Rows that lose their last cell, image or city on the way, by reason."""
+    broken = _broken_pages(views)
     return pages.extract_listings(broken, rejects=True).groupBy("site", "reject_reason").agg(
         F.count(F.lit(1)).alias("n_rows")
     )
@@ -208,8 +237,47 @@ def _ingest_stream(views: Views) -> DataFrame:
     return read_store(views.spark, store).select(*KEY_COLUMNS, *IDENTITY_COLUMNS, "img_url")
 
 
+def _ingest_versions(views: Views) -> DataFrame:
+    """Three runs: all pages, every second one changed, every fourth changed back."""
+    landing, store, state = (
+        scratch_path(views.spark, name) for name in ("landing", "store", "stream-state")
+    )
+    made = views.rendered_pages
+    changed = F.when(F.col("page") % 2 == 0, F.concat("html", F.lit("<!-- seen again -->")))
+    lots = [
+        made,
+        made.withColumn("html", F.coalesce(changed, "html")),
+        made.where("page % 4 = 0"),
+    ]
+    for lot in lots:
+        lot.write.mode("append").parquet(landing)
+        ingest_stream(views.spark, landing, store, state).awaitTermination()
+    stored = read_store(views.spark, store).groupBy("site", "page").agg(
+        F.max("version").alias("n_versions"), F.count(F.lit(1)).alias("n_rows")
+    )
+    latest = read_latest(views.spark, store).groupBy("site", "page").agg(
+        F.count(F.lit(1)).alias("n_latest"), F.max("version").alias("latest_version")
+    )
+    return stored.join(latest, ["site", "page"])
+
+
+def _ingest_rejects(views: Views) -> DataFrame:
+    """What a run of the stream sets aside of pages whose rows lose a part, by reason."""
+    landing, store, state = (
+        scratch_path(views.spark, name) for name in ("landing", "store", "stream-state")
+    )
+    for _ in range(2):  # what lands again unchanged is not rejected again
+        _broken_pages(views).write.mode("append").parquet(landing)
+        ingest_stream(views.spark, landing, store, state).awaitTermination()
+    return read_rejects(views.spark, store).groupBy("site", "reject_reason").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("version").alias("n_versions")
+    )
+
+
 QUERIES = {
     "read_listings": _read_listings,
+    "read_listings_by_name": _read_listings_by_name,
+    "read_listing_rejects": _read_listing_rejects,
     "append_listings": _append_listings,
     "write_processed": _write_processed,
     "scan_images": _scan_images,
@@ -227,6 +295,8 @@ QUERIES = {
     "union_sites": _union_sites,
     "drop_stale_outputs": lambda v: images.drop_stale_outputs(v.image_files, v.failed_images),
     "ingest_stream": _ingest_stream,
+    "ingest_versions": _ingest_versions,
+    "ingest_rejects": _ingest_rejects,
 }
 
 
@@ -260,6 +330,15 @@ SQL = {
         f"select {', '.join(_ALL)} from (select * replace ({_QUOTED} as baslik, "
         "nullif(fiyat, '') as fiyat) from listing_raw)",
     ),
+    "read_listings_by_name": with_views(
+        ["listing_raw"],
+        f"select {', '.join(_ALL)} from (select * replace (nullif(fiyat, '') as fiyat) from listing_raw)",
+    ),
+    "read_listing_rejects": with_views(
+        ["listing_raw"],
+        "select concat(marka, ',', seri) as record, count(*) as n_records from listing_raw "
+        "where page % 10 = 0 group by all",
+    ),
     "append_listings": with_views(
         ["listing_raw"], f"select {', '.join(_ALL)} from listing_raw"
     ),
@@ -360,4 +439,22 @@ from listing_raw
         "select * from image_files where basename not in (select basename from failed_images)",
     ),
     "ingest_stream": _extract_sql(">= 0"),
+    "ingest_versions": with_views(
+        ["listing_raw"],
+        """
+select site, page, n_versions, count(*) * n_versions as n_rows, count(*) as n_latest,
+  n_versions as latest_version
+from (select *, case when page % 4 = 0 then 3 when page % 2 = 0 then 2 else 1 end as n_versions
+  from listing_raw)
+group by site, page, n_versions
+""",
+    ),
+    "ingest_rejects": with_views(
+        ["listing_raw"],
+        """
+select site, case site when 0 then 'cell count' when 1 then 'no place cell' when 2 then 'no city'
+  else 'no property list' end as reject_reason, count(*) as n_rows, 1 as n_versions
+from listing_raw group by site
+""",
+    ),
 }

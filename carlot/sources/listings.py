@@ -2,31 +2,57 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from carlot.schema import HIERARCHY_COLUMNS, LISTING_RAW, NA_TOKENS
 
 
+#: Text of a record that has not as many fields as its header.
+_CORRUPT = "_corrupt_record"
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """One folder's records with the columns of ``schema`` by name, ``_CORRUPT`` and ``file``."""
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    wanted = {f.name: f for f in schema}
+    header = reader.csv(path).columns  # the first line of one file, and folder names
+    require_columns(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in header)), list(wanted))
+    fields = [wanted.get(c, T.StructField(c, T.StringType())) for c in header]
+    # a file whose header is not this one stops the job instead of being read by position
+    found = reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", _CORRUPT).schema(
+        T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
+    ).csv(path)
+    return found.select(*wanted, _CORRUPT, F.col("_metadata.file_path").alias("file"))
+
+
 def read_listings(
     spark: SparkSession,
-    path: str,
-    schema: T.StructType = LISTING_RAW,
+    path: str | list[str],
+    schema: T.StructType | str = LISTING_RAW,
     multi_line: bool = True,
+    rejects: bool = False,
 ) -> DataFrame:
-    """Scan listing CSV files with a header and a fixed schema.
+    """Scan listing CSV files with a header; columns are found by name, in any order.
+
+    A column of ``schema`` that the header lacks raises; others of the file are left out.
+    Files below one path share one header, and a file with another stops the job;
+    several paths may differ.  Quotes inside a field are doubled and titles may hold line
+    feeds.  Files known to hold one record per line can be read with
+    ``multi_line=False``, which lets Spark split large files over tasks.
 
-    Quotes inside a field are doubled and titles may hold line feeds.  Files
-    known to hold one record per line can be read with ``multi_line=False``,
-    which lets Spark split large files over tasks.
+    Records with more or fewer fields than the header are no rows; with ``rejects`` they
+    are returned instead, as ``file`` and ``record``.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    paths = [path] if isinstance(path, str) else path
+    found = reduce(DataFrame.unionByName, [_csv(spark, p, schema, multi_line) for p in paths])
+    if rejects:
+        # the CSV source wants one column of the file to be read beside the record's text
+        record = F.coalesce(F.col(_CORRUPT), F.col(schema.names[0]).cast("string"))
+        return found.where(F.col(_CORRUPT).isNotNull()).select("file", record.alias("record"))
+    return found.where(F.col(_CORRUPT).isNull()).select(*schema.names)
 
 
 def normalize_na(df: DataFrame) -> DataFrame:

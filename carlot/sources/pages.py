@@ -150,14 +150,15 @@ def _pieces(html: Column, opening: str) -> Column:
 
 def _emit(pages: DataFrame, parsed: Column, rejects: bool) -> DataFrame:
     """One row per accepted (or rejected) struct of a page."""
+    kept = [c for c in ("landed_at", "digest", "version") if c in pages.columns]
     if rejects:
-        out = pages.select("site", "page", F.posexplode(parsed).alias("position", "row"))
+        out = pages.select("site", "page", *kept, F.posexplode(parsed).alias("position", "row"))
         return out.where(F.col("row.reject_reason").isNotNull()).select(
             "site", "page", F.col("position").cast("long").alias("position"),
             *[F.col(f"row.{f}").alias(f) for f in [*_FIELDS, "reject_reason"]],
+            *kept,
         )
     wanted = F.filter(parsed, lambda r: r["reject_reason"].isNull())
-    kept = [c for c in ("landed_at", "digest") if c in pages.columns]
     out = pages.select("site", "page", *kept, F.posexplode(wanted).alias("idx", "row"))
     return out.select(
         "site",
@@ -462,7 +463,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def parsed_listings(parsed: DataFrame, rejects: bool = False) -> DataFrame:
-    """Rows of ``parse_pages``; load time and digest of a page stay with its rows."""
+    """Rows of ``parse_pages``; load time, digest and version of a page stay with its rows."""
     return _emit(parsed, F.col("parsed"), rejects)
 
 

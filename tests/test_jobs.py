@@ -11,7 +11,8 @@ from carlot.plans.score_queries import _labelled
 from carlot.schema import KEY_COLUMNS
 from carlot.session import shared_dir
 from carlot.sources import crawl, images, listings, pages
-from carlot.streaming.ingest import ingest_stream, read_store
+from carlot.streaming import ingest
+from carlot.streaming.ingest import ingest_stream, read_latest, read_rejects, read_store
 
 
 def test_csv_with_quotes_and_line_feeds(spark, tmp_path):
@@ -276,3 +277,96 @@ def test_offsets_follow_the_page_count(spark):
     done = spark.createDataFrame([], "site int, page long")
     assert crawl.crawl_frontier(sites, done).count() == 400
     assert crawl.crawl_frontier(sites, done, max_offset=950).count() == 20
+
+
+def _lands(spark, landing, pages_):
+    spark.createDataFrame(pages_, "site int, page long, html string").coalesce(1).write.mode("append").parquet(landing)
+
+
+def _row_page(*titles):
+    """A table page of site 0; a title of None makes a row one cell short."""
+    cell = "".join(f"<td>{x}</td>" for x in ("Marka", "Seri", "Model", "{}", "2020", "5", "7 TL", "d", "Ankara"))
+    rows = "".join(f'<tr><td><img src="u"></td>{cell.format(t) if t else "<td>x</td>"}</tr>' for t in titles)
+    return f'<table id="searchResultsTable">{rows}</table>'
+
+
+def test_a_page_that_changes_back_is_a_third_version(spark, tmp_path):
+    landing, store, state = (str(tmp_path / n) for n in ("landing", "store", "state"))
+    a, b = _row_page("first"), _row_page("second", "third")
+    for html in (a, b, a):
+        _lands(spark, landing, [(0, 1, html), (0, 2, a)])
+        ingest_stream(spark, landing, store, state, full_every=2).awaitTermination()
+    stored = read_store(spark, store)
+    assert sorted((r.page, r.version, r.idx, r.baslik) for r in stored.collect()) == [
+        (1, 1, 0, "first"), (1, 2, 0, "second"), (1, 2, 1, "third"), (1, 3, 0, "first"), (2, 1, 0, "first"),
+    ]
+    assert sorted((r.page, r.version) for r in read_latest(spark, store).collect()) == [(1, 3), (2, 1)]
+
+
+def test_versions_within_one_batch(spark, tmp_path):
+    landing, store, state = (str(tmp_path / n) for n in ("landing", "store", "state"))
+    a, b = _row_page("first"), _row_page("second")
+    _lands(spark, landing, [(0, 1, a), (0, 1, a), (0, 1, b), (0, 1, b), (0, 1, a), (0, 3, None)])
+    ingest_stream(spark, landing, store, state).awaitTermination()
+    found = sorted((r.version, r.baslik) for r in read_store(spark, store).collect())
+    assert found == [(1, "first"), (2, "second"), (3, "first")]
+
+
+def test_a_batch_that_runs_again_stores_nothing_twice(spark, tmp_path):
+    landing, store, state = (str(tmp_path / n) for n in ("landing", "store", "state"))
+    _lands(spark, landing, [(0, 1, _row_page("a", None, "b")), (0, 2, _row_page("c"))])
+    ingest_stream(spark, landing, store, state).awaitTermination()
+    want = sorted(map(str, read_store(spark, store).drop("landed_at").collect()))
+    again = spark.read.parquet(landing).withColumn("landed_at", F.current_timestamp()).withColumn(
+        "place", F.struct(F.lit(None).cast("timestamp"), F.lit("f"), F.monotonically_increasing_id().alias("row"))
+    )
+    ingest._load_batch(store, None, 50)(again, 0)
+    assert sorted(map(str, read_store(spark, store).drop("landed_at").collect())) == want
+    ingest._load_batch(store, None, 50)(again, 1)  # the same landings as a batch of their own: no news
+    assert read_store(spark, store).count() == len(want)
+    rejects = read_rejects(spark, store).collect()
+    assert [(r.page, r.position, r.reject_reason, r.version) for r in rejects] == [(1, 1, "cell count", 1)]
+
+
+def test_a_batch_cut_short_is_not_read(spark, tmp_path):
+    landing, store, state = (str(tmp_path / n) for n in ("landing", "store", "state"))
+    _lands(spark, landing, [(0, 1, _row_page("a"))])
+    ingest_stream(spark, landing, store, state).awaitTermination()
+    read_store(spark, store).withColumn("site", F.lit(0)).drop("batch").write.parquet(f"{store}/listings/batch=1")
+    assert read_store(spark, store).count() == 1
+
+
+def test_store_and_checkpoint_belong_together(spark, tmp_path):
+    landing, store, state, other = (str(tmp_path / n) for n in ("landing", "store", "state", "other"))
+    _lands(spark, landing, [(0, 1, _row_page("a"))])
+    ingest_stream(spark, landing, store, state).awaitTermination()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        ingest_stream(spark, landing, store, other)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    one, two = tmp_path / "one", tmp_path / "two"
+    one.mkdir(), two.mkdir()
+    (one / "a.csv").write_text('model,more,marka,seri\n1.4,x,Fiat,Egea\n1.6,Ford\n2.0,x,VW,Golf,5\n"a\nb",x,Kia,Rio\n')
+    (two / "a.csv").write_text("marka,seri,model\nBMW,3,320i\n")
+    schema = "marka string, seri string, model string"
+    both = [str(one), str(two)]
+    rows = sorted(map(tuple, listings.read_listings(spark, both, schema).collect()))
+    assert rows == [("BMW", "3", "320i"), ("Fiat", "Egea", "1.4"), ("Kia", "Rio", "a\nb")]
+    bad = listings.read_listings(spark, both, schema, rejects=True).collect()
+    assert sorted(r.record for r in bad) == ["1.6,Ford", "2.0,x,VW,Golf,5"]
+    assert all(r.file.endswith("one/a.csv") for r in bad)
+    assert listings.read_listings(spark, both, "seri string").count() == 3
+
+
+def test_csv_without_a_column_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("marka,model\nFiat,1.4\n")
+    with pytest.raises(ValueError, match="missing columns: seri"):
+        listings.read_listings(spark, str(tmp_path), "marka string, seri string, model string")
+
+
+def test_csv_of_two_headers_in_one_folder_stops(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("marka,model\nFiat,1.4\n")
+    (tmp_path / "b.csv").write_text("model,marka\n1.4,Fiat\n")
+    with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE"):
+        listings.read_listings(spark, str(tmp_path), "marka string, model string").collect()
