@@ -33,54 +33,67 @@ def softmax_scores(scores: DataFrame, temperature: float = 1.0) -> DataFrame:
     return scores.withColumn("probs", ar.softmax(F.col("logits"), temperature))
 
 
-def sample_mean_var(scores: DataFrame) -> DataFrame:
-    """Mean and sample variance over repeated predictions, per image, head and class."""
+def head_moments(scores: DataFrame) -> DataFrame:
+    """``means`` and ``variances`` over repeated predictions, one entry per class of a head.
+
+    Rows are dealt by image, which serves all later grouping by head or image: this is
+    the only shuffle up to the decoded path.  A group has as many rows as there are samples
+    of one head.  One sample has no variance.
+    """
+    runs, n = F.col("runs"), F.size("runs")
+    zeros = F.transform(F.get("runs", F.lit(0)), lambda x: F.lit(0.0))
+    total = F.aggregate(runs, zeros, lambda acc, run: F.zip_with(acc, run, lambda s, x: s + x))
+    apart = F.aggregate(
+        runs, zeros,
+        lambda acc, run: F.zip_with(
+            acc, F.zip_with(run, "means", lambda x, m: (x - m) * (x - m)), lambda s, x: s + x
+        ),
+    )
     return (
-        softmax_scores(scores)
-        .select("image_id", "level", "node", F.posexplode("probs").alias("class_idx", "prob"))
-        .groupBy("image_id", "level", "node", "class_idx")
-        .agg(F.avg("prob").alias("mean"), F.var_samp("prob").alias("variance"))
+        softmax_scores(scores.repartition("image_id"))
+        .groupBy("image_id", "level", "node")
+        .agg(F.collect_list("probs").alias("runs"))
+        .withColumn("means", F.transform(total, lambda s: s / n))
+        .withColumn("variances", F.transform(apart, lambda s: F.when(n > 1, s / (n - 1))))
+        .drop("runs")
     )
 
 
-def head_summary(moments: DataFrame) -> DataFrame:
-    """Best class of every head with its confidence and uncertainty in percent.
+def sample_mean_var(scores: DataFrame) -> DataFrame:
+    """Mean and sample variance over repeated predictions, per image, head and class."""
+    both = F.arrays_zip(F.col("means").alias("mean"), F.col("variances").alias("variance"))
+    return head_moments(scores).select(
+        "image_id", "level", "node", F.posexplode(both).alias("class_idx", "x")
+    ).select("image_id", "level", "node", "class_idx", "x.mean", "x.variance")
+
+
+def head_summary(heads: DataFrame) -> DataFrame:
+    """Best class of every head of ``head_moments`` with confidence and uncertainty in percent.
 
     Confidence is the softmax of the means at a low temperature, uncertainty the
     deviation of the chosen class.  A head with one class is marked as an error.
     """
-    heads = moments.groupBy("image_id", "level", "node").agg(
-        # as many entries as the head has classes
-        F.array_sort(F.collect_list(F.struct("class_idx", "mean", "variance"))).alias("classes")
-    )
-    means = F.transform("classes", lambda x: x["mean"])
-    best = ar.first_argmax(F.col("means"))
-    return (
-        heads.withColumn("means", means)
-        .withColumn("best", best)
-        .select(
-            "image_id",
-            "level",
-            "node",
-            F.get("classes", F.col("best"))["class_idx"].alias("class_idx"),
-            (F.get(ar.softmax(F.col("means"), DECODE_TEMPERATURE), F.col("best")) * 100).alias(
-                "confidence"
-            ),
-            (F.sqrt(F.get("classes", F.col("best"))["variance"]) * 100).alias("uncertainty"),
-            F.when(F.size("classes") == 1, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
-        )
+    best = F.col("class_idx")
+    return heads.withColumn("class_idx", ar.first_argmax(F.col("means"))).select(
+        "image_id",
+        "level",
+        "node",
+        "class_idx",
+        (F.get(ar.softmax(F.col("means"), DECODE_TEMPERATURE), best) * 100).alias("confidence"),
+        (F.sqrt(F.get("variances", best)) * 100).alias("uncertainty"),
+        F.when(F.size("means") == 1, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
     )
 
 
-def decode_top1(moments: DataFrame) -> DataFrame:
+def decode_top1(heads: DataFrame) -> DataFrame:
     """The best brand, the best series under it, the best trim under that pair.
 
-    The heads of an image are gathered into a map by node and looked up along
+    ``heads`` is ``head_moments``.  The heads of an image are gathered into a map by node and looked up along
     the predicted path; a map has one entry per head of the model.
     """
     parts = ["class_idx", "confidence", "uncertainty", "status"]
     by_node = (
-        head_summary(moments)
+        head_summary(heads)
         .groupBy("image_id")
         .agg(
             F.map_from_entries(
@@ -130,15 +143,20 @@ def single_class_status(decoded: DataFrame) -> DataFrame:
 
 
 def _on_true_path(scores: DataFrame, labels: DataFrame) -> DataFrame:
-    """Heads that judge each image: the brand head and the heads of its true parents."""
-    joined = scores.join(labels, "image_id")
-    path = F.when(F.col("level") == "brand", F.lit("")).when(
-        F.col("level") == "series", series_node(F.col("brand_idx"))
-    ).otherwise(trim_node(F.col("brand_idx"), F.col("series_idx")))
-    label = F.when(F.col("level") == "brand", F.col("brand_idx")).when(
-        F.col("level") == "series", F.col("series_idx")
-    ).otherwise(F.col("trim_idx"))
-    return joined.where(F.col("node") == path).withColumn("label", label.cast("int"))
+    """Heads that judge each image: the brand head and the heads of its true parents.
+
+    Labels become rows of the three heads they stand for, so scores of all other heads
+    find no partner and are not carried further.
+    """
+    brand, series, trim = (F.col(f"{level}_idx") for level in LEVEL_WEIGHTS)
+    nodes = (F.lit(""), series_node(brand), trim_node(brand, series))
+    heads = F.array(
+        *[
+            F.struct(F.lit(level).alias("level"), node.alias("node"), label.cast("int").alias("label"))
+            for level, node, label in zip(LEVEL_WEIGHTS, nodes, (brand, series, trim))
+        ]
+    )
+    return scores.join(labels.select("*", F.inline(heads)), ["image_id", "level", "node"])
 
 
 def hier_accuracy(scores: DataFrame, labels: DataFrame) -> DataFrame:

@@ -28,11 +28,11 @@ def _moments(views: Views) -> DataFrame:
 
 
 def _summary(views: Views) -> DataFrame:
-    return scores.head_summary(scores.sample_mean_var(views.scores))
+    return scores.head_summary(scores.head_moments(views.scores))
 
 
 def _decoded(views: Views) -> DataFrame:
-    return scores.decode_top1(scores.sample_mean_var(views.scores))
+    return scores.decode_top1(scores.head_moments(views.scores))
 
 
 def _short_heads(views: Views) -> DataFrame:
@@ -44,7 +44,7 @@ def _short_heads(views: Views) -> DataFrame:
 
 
 def _status(views: Views) -> DataFrame:
-    decoded = scores.decode_top1(scores.sample_mean_var(_short_heads(views)))
+    decoded = scores.decode_top1(scores.head_moments(_short_heads(views)))
     return scores.single_class_status(decoded).select("image_id", "brand_idx", "status")
 
 

@@ -174,3 +174,27 @@ def test_softmax_rows_sum_to_one(spark, views):
 
 def test_listing_columns_survive_the_chain(spark, views):
     assert views.listing_clean.columns == [*KEY_COLUMNS, *LISTING_COLUMNS]
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_decoding_shuffles_scores_once(spark):
+    from carlot.operators import scores
+
+    rows = [(i, k, level, node, [0.1 * k, 0.2, 0.7 - 0.1 * k]) for i in range(5) for k in range(3)
+            for level, node in (("brand", ""), ("series", "2"), ("trim", "2/2"))]
+    table = spark.createDataFrame(rows, "image_id long, sample int, level string, node string, logits array<double>")
+    assert _shuffles(scores.decode_top1(scores.head_moments(table))) == 1
+    assert scores.decode_top1(scores.head_moments(table)).count() == 5
+
+
+def test_true_heads_are_joined_by_three_keys(spark):
+    from carlot.operators import scores
+
+    table = spark.createDataFrame([(1, "brand", "", [1.0])], "image_id long, level string, node string, logits array<double>")
+    labels = spark.createDataFrame([(1, 0, 0, 0)], "image_id long, brand_idx int, series_idx int, trim_idx int")
+    plan = scores.hier_accuracy(table, labels)._jdf.queryExecution().optimizedPlan().toString()
+    joined = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert len(joined) == 1 and all(joined[0].count(f"{k}#") == 2 for k in ("image_id", "level", "node"))
