@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carlot.llm.arrow_text import whole
+from carlot.llm.names import shielded
 
 LENGTH, HASH, COUNT, DIGEST = "__length", "__hash", "group_size", "text_sha256"
 
@@ -175,7 +176,7 @@ def owners(
     names, except ``group_size`` and ``text_sha256``, which are replaced.  An
     empty table gives an empty table.
     """
-    docs = docs.drop(COUNT, DIGEST, LENGTH, HASH)
+    docs, back = shielded(docs.drop(COUNT, DIGEST), text, key)
     inner = T.StructType(
         [*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in (LENGTH, HASH, COUNT))]
     )
@@ -188,7 +189,7 @@ def owners(
     )
     partial = docs.mapInArrow(_local(text, key, fold_case, keep_largest, buffer_mb << 20), inner)
     dealt = partial.repartition(LENGTH, HASH).sortWithinPartitions(LENGTH, HASH)
-    return dealt.mapInArrow(_merge(text, key, fold_case, keep_largest), outer)
+    return back(dealt.mapInArrow(_merge(text, key, fold_case, keep_largest), outer))
 
 
 def _digests(text: str, key: str, fold_case: bool):

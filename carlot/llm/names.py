@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 
@@ -15,3 +17,20 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
             name = f"_{name}"
         out.append(name)
     return out
+
+
+def shielded(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` without columns that begin like those of the operators, and the way back.
+
+    Columns with two underscores in front get other names until the second result is
+    applied; ``used`` are left alone, as the operator reads them.
+    """
+    given = [c for c in docs.columns if c.startswith("__") and c not in used]
+    taken, other = {c.lower() for c in docs.columns}, {}
+    for number, name in enumerate(given):
+        new = f"kept{number}"
+        while new in taken:
+            new += "_"
+        other[name] = new
+    back = {new: name for name, new in other.items()}
+    return docs.withColumnsRenamed(other), lambda df: df.withColumnsRenamed(back)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carlot.llm.names import shielded
 from carlot.session import stage
 
 _MALE = "Mr|Herr|Sr|Señor|Monsieur"
@@ -424,9 +425,11 @@ def replace_pii(docs: DataFrame, secret: str, text: str = "text", counts: bool =
 
     Names that a title gives away are also replaced where the same text has them,
     capitalised, without one.  A null text stays null.  With ``counts``, ``n_email`` and so on per kind are
-    added.  Rows may repeat and keys may be null: what is joined is the list of
+    added, in place of columns of that name.  All other columns come back, whatever
+    their names.  Rows may repeat and keys may be null: what is joined is the list of
     entities in a text, not the row.
     """
+    docs, back = shielded(docs.drop(*(f"n_{k}" for k in KINDS)) if counts else docs, text)
     # the hint spares most texts the long pattern; no entity lacks it
     found = F.when(F.col(text).rlike(HINT), F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)))
     listed = docs.withColumn("__found", F.coalesce(found, F.array().cast("array<string>")))
@@ -470,7 +473,7 @@ def replace_pii(docs: DataFrame, secret: str, text: str = "text", counts: bool =
     changed = with_some.join(mapped.withColumn("__map", names).drop("__all"), "__list").select(
         *(joined.alias(text) if c == text else F.col(c) for c in docs.columns), *totals
     )
-    return changed.unionByName(listed.filter(F.size("__found") == 0).select(*columns, *zeros))
+    return back(changed.unionByName(listed.filter(F.size("__found") == 0).select(*columns, *zeros)))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str, secret: str = "rotate-this-key") -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carlot.llm.names import shielded
 from carlot.session import stage
 
 #: A rule is a conjunction of (statistic, "<=" or ">", threshold).
@@ -141,11 +142,12 @@ def fit_quality(
 ) -> RuleEnsemble:
     """Learn from the labelled rows for which ``usable`` holds.
 
-    ``labels`` has ``key`` and ``label``.  About ``sample`` keys at most are taken,
+    ``labels`` has ``key`` and ``label``; other labels than 0 and 1, and null keys, are not
+    used, and of several of one key the largest counts.  About ``sample`` keys at most are taken,
     by a hash of the key, and only their texts are read whole for it.
     """
     known = (
-        labels.filter(F.col("label").isNotNull()).groupBy(key).agg(F.max("label").cast("int").alias("label"))
+        labels.filter(F.col("label").isin(0, 1)).groupBy(key).agg(F.max("label").cast("int").alias("label"))
     )
     known = known.filter(usable)
     share = min(1.0, sample / max(1, known.count()))
@@ -155,14 +157,20 @@ def fit_quality(
 
 
 def quality_scores(docs: DataFrame, model: RuleEnsemble, text: str = "text") -> DataFrame:
-    """Every row of ``docs`` with ``score``, the probability of a good document."""
-    return with_stats(docs, text).withColumn("score", model.score()).drop("__stats")
+    """Every row of ``docs`` with ``score``, the probability of a good document.
+
+    A column ``score`` is replaced, all others come back.  Null and empty texts have the
+    score of their statistics, which are 0; repeated rows and null keys score alike.
+    """
+    docs, back = shielded(docs, text)
+    return back(with_stats(docs, text).withColumn("score", model.score()).drop("__stats"))
 
 
 def keep_good(docs: DataFrame, model: RuleEnsemble, least: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more, columns unchanged."""
+    docs, back = shielded(docs, text)
     columns = docs.columns
-    return with_stats(docs, text).filter(model.score() >= least).select(*columns)
+    return back(with_stats(docs, text).filter(model.score() >= least).select(*columns))
 
 
 def remainder(key: str, by: int) -> Column:

@@ -20,7 +20,7 @@ from carlot.llm.arrow_text import byte_slices, whole
 #: what surrounds them: contractions and special tokens need it.
 _PARTS = re.compile(r"([^\W\d_]*)([.,!?;:#$%&*|()\"@=+-]*)")
 #: Bytes that an encoder remembers, about; the process forgets all beyond.
-CACHED = 32 << 20
+CACHED = 64 << 20
 #: Bytes of one remembered part besides its text and ids.
 _ENTRY = 150
 
@@ -112,7 +112,7 @@ def _pieces(path: str, text: str, key: str, capacity: int, sums: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordEncoder(path))
         for full in batches:
-            for batch in byte_slices(full, text, 1 << 20):
+            for batch in byte_slices(full, text):
                 ids, offsets = encoder.encode(batch.column(text))
                 counts = -(-np.diff(offsets) // capacity)
                 row = np.repeat(np.arange(len(counts)), counts)

@@ -10,6 +10,7 @@ numbers, which a logistic fit turns into a probability.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -186,9 +187,11 @@ def train(
     are counted by Spark over the whole texts of the sample.  What reaches the
     driver is bounded: ids of the sample, stems in ``support`` of a class's
     documents, ``windows_total`` runs of windows and one row of numbers per sampled document.
-    Without documents of both classes the model scores 0.5 everywhere.
+    Without documents of both classes, or where no stem tells them apart, the model scores
+    the toxic share of the sample everywhere, 0.01 if there is none.  Other labels than 0
+    and 1 are not used; of several of one document the largest counts.
     """
-    known = labels.filter(F.col("label").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
+    known = labels.filter(F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = [
         known.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)
     ]
@@ -196,14 +199,16 @@ def train(
     sample = stage(sample, "toxicity-sample").repartition(64, "doc_id")
     toxic, ordinary = sample.filter("label = 1"), sample.filter("label = 0")
     n_toxic, n_ordinary = toxic.count(), ordinary.count()
+    share = min(0.99, max(0.01, n_toxic / max(1, n_toxic + n_ordinary)))
+    unknowing = Dictionaries(intercept=math.log(share / (1 - share)))
     if not n_toxic or not n_ordinary:
-        return Dictionaries()
+        return unknowing
     own = _frequent(toxic, max(3, support * n_toxic))
     other = _frequent(ordinary, max(3, support * n_ordinary))
     own_tail = typical(own, n_toxic, _frequent(ordinary, 1, frozenset(own)), n_ordinary, ratio)
     other_tail = typical(other, n_ordinary, _frequent(toxic, 1, frozenset(other)), n_toxic, 1.0)
     if not own_tail:
-        return Dictionaries()
+        return unknowing
     each = max(1, windows_total // (n_toxic + n_ordinary))
     cut = sample.select("text").mapInPandas(_window_sample(each, own_tail), "window binary").orderBy(F.xxhash64("window"), "window")
     shared = _trained([bytes(r["window"]) for r in cut.collect()], body)
