@@ -92,28 +92,51 @@ def shape(record: Column) -> Column:
     )
 
 
+#: Spark's JSON reader takes strings up to so many characters.
+LONGEST = 20_000_000
+
+
+def _read(value: Column, record: Column, kind: str, otherwise: Column) -> Column:
+    """``otherwise`` where ``value`` is null; a record too long to be read raises instead."""
+    failure = F.raise_error(F.lit(f"a record of more than {LONGEST} characters cannot be read")).cast(kind)
+    return F.when(value.isNull() & (F.length(record) > LONGEST), failure).when(value.isNull(), otherwise)
+
+
+def _layout(value: Column, record: Column, fingerprint: Column) -> Column:
+    layout = _read(value, record, "string", F.lit("unreadable"))
+    for known in LAYOUTS:
+        layout = layout.when(fingerprint == known.fingerprint, known.name)
+    return layout.otherwise("unknown")
+
+
 def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
     """``records`` with ``layout`` and ``turns``, an array of (role, text), instead of ``record``.
 
     Null or broken JSON has layout "unreadable", an unknown shape "unknown"; both
-    have no turns and stay in the result.  Null roles and texts are empty.
+    have no turns and stay in the result, and :func:`unread_records` has their text.  Null
+    roles and texts are empty.  A record of more than ``LONGEST`` characters that the JSON
+    reader does not take raises, so that no text is lost unseen.
     """
     parsed = records.withColumn("__record", F.try_parse_json(record))
     parsed = parsed.withColumn("__fingerprint", F.sha2(shape(F.col("__record")), 256))
-    value = F.col("__record")
-    layout = F.when(value.isNull(), "unreadable")
-    turns = F.when(value.isNull(), F.array().cast("array<struct<role:string,text:string>>"))
+    value, kind = F.col("__record"), "array<struct<role:string,text:string>>"
+    turns = _read(value, F.col(record), kind, F.array().cast(kind))
     for known in LAYOUTS:
-        here = F.col("__fingerprint") == known.fingerprint
-        layout = layout.when(here, known.name)
-        turns = turns.when(here, known.canonical(value))
+        turns = turns.when(F.col("__fingerprint") == known.fingerprint, known.canonical(value))
     return parsed.select(
         *(F.col(c) for c in records.columns if c not in (record, "layout", "turns")),
-        layout.otherwise("unknown").alias("layout"),
-        turns.otherwise(F.array().cast("array<struct<role:string,text:string>>")).alias("turns"),
+        _layout(value, F.col(record), F.col("__fingerprint")).alias("layout"),
+        turns.otherwise(F.array().cast(kind)).alias("turns"),
     )
 
 
+def unread_records(records: DataFrame, record: str = "record") -> DataFrame:
+    """The rows of ``records`` that have no turns, with ``layout``: unreadable or unknown."""
+    value = F.try_parse_json(record)
+    named = records.withColumn("layout", _layout(value, F.col(record), F.sha2(shape(value), 256)))
+    return named.where(F.col("layout").isin("unreadable", "unknown"))
+
+
 def escape(text: Column) -> Column:
     """Control strings cannot occur in the result; see :func:`unescape`."""
     text = F.regexp_replace(text, "&(?=(?:amp;)*(?:lt|lsqb);)", "&amp;")
