@@ -24,7 +24,10 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool)
     found = reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", _CORRUPT).schema(
         T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
     ).csv(path)
-    return found.select(*wanted, _CORRUPT, F.col("_metadata.file_path").alias("file"))
+    # the CSV source wants a column of the file to be read beside the record's text; always true
+    read = F.coalesce(F.col(f"`{header[0]}`").cast("string"), F.lit("")) >= ""
+    broken = F.when(read, F.col(_CORRUPT))
+    return found.select(*wanted, broken.alias(_CORRUPT), F.col("_metadata.file_path").alias("file"))
 
 
 def read_listings(
@@ -49,9 +52,7 @@ def read_listings(
     paths = [path] if isinstance(path, str) else path
     found = reduce(DataFrame.unionByName, [_csv(spark, p, schema, multi_line) for p in paths])
     if rejects:
-        # the CSV source wants one column of the file to be read beside the record's text
-        record = F.coalesce(F.col(_CORRUPT), F.col(schema.names[0]).cast("string"))
-        return found.where(F.col(_CORRUPT).isNotNull()).select("file", record.alias("record"))
+        return found.where(F.col(_CORRUPT).isNotNull()).select("file", F.col(_CORRUPT).alias("record"))
     return found.where(F.col(_CORRUPT).isNull()).select(*schema.names)
 
 
