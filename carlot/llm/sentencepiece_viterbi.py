@@ -13,8 +13,10 @@ leaves one path, the one that merging itself arrives at.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from os.path import commonprefix
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -29,13 +31,28 @@ from carlot.llm.arrow_text import byte_slices
 SPACE = "▁"
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Bytes that a model remembers of words and pairs, about; the process forgets all beyond.
-CACHED = 64 << 20
+CACHED = 160 << 20
 #: Bytes of a remembered word or pair besides its text.
 _ENTRY = 260
 #: Longer words are encoded each time.
 LONG = 100
 
 
+class Tree(NamedTuple):
+    """A piece's last merge: its rank and two parts.
+
+    ``rising``: merges below it rank before it, and no other piece has their ranks.
+    """
+
+    rank: float
+    left: str
+    right: str
+    rising: bool
+
+
+_LEAF = Tree(-1, "", "", True)
+
+
 class Model:
     """Pieces and scores of a SentencePiece file; no piece may hold a space after other signs."""
 
@@ -46,11 +63,18 @@ class Model:
         self.ids = {sp.id_to_piece(i): i for i in plain}
         self.scores = {sp.id_to_piece(i): sp.get_score(i) for i in plain}
         self.longest = max(map(len, self.ids), default=1)
+        self.lowest = min(self.scores.values(), default=0.0) - 10.0
+        # every text that a piece ends with: its score if it is a piece or a sign, else False
+        self.endings: dict[str, float | bool] = {p[at:]: False for p in self.ids for at in range(len(p))}
+        self.endings.update({p[-1]: self.lowest for p in self.ids})
+        self.endings.update(self.scores)
         self.unknown = sp.unk_id()
         self.bytes = {int(sp.id_to_piece(i)[3:-1], 16): i for i in range(size) if sp.is_byte(i)}
-        self.lowest = min(self.scores.values(), default=0.0) - 10.0
         # scores of merges are minus their rank; probabilities are not whole numbers
         self.merges = all(s == int(s) for s in self.scores.values())
+        held = Counter(s for p, s in self.scores.items() if len(p) > 1)
+        self.shared = {s for s, n in held.items() if n > 1}
+        self.trees: dict[str, Tree | None] = {}
         self.whole = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.spelled = [b""] * size
         for i in plain:
@@ -65,7 +89,7 @@ class Model:
         self.apart: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
         self.used = 0
-        self.starts: list[int] = [0]
+        self.lasts: list[str] = [""]
         self.best: list[float] = [0.0]
         self.last = ""
 
@@ -80,48 +104,96 @@ class Model:
             parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
         return parts
 
+    def tree(self, piece: str) -> Tree | None:
+        """How merging arrives at a piece; None if it does not."""
+        if len(piece) == 1:
+            return _LEAF
+        if piece not in self.trees:
+            parts, last = list(piece), ("", "")
+            while len(parts) > 1:
+                scored = [(self.scores.get(a + b, -np.inf), -i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+                score, at = max(scored)
+                if score == -np.inf:
+                    break
+                last = parts[-at], parts[1 - at]
+                parts[-at : 2 - at] = ["".join(last)]
+            found = None
+            if len(parts) == 1:
+                rank, (left, right) = -self.scores[piece], map(self.tree, last)
+                rising = left.rising and right.rising and rank > max(left.rank, right.rank) and -rank not in self.shared
+                found = Tree(rank, *last, rising)
+            self.trees[piece] = found
+        return self.trees[piece]
+
+    def _parted(self, a: str, b: str) -> bool:
+        """Whether no merge crosses the border of ``a`` and ``b``.
+
+        Both are taken apart again, the latest merge first.  At each stage the two parts
+        at the border must not have a merge that is due before the one just undone; of
+        merges that are equally due the left one comes first.
+        """
+        left, right = self.tree(a) if a else _LEAF, self.tree(b)
+        if left is None or right is None:
+            return False
+        if not a:
+            return True
+        if not (left.rising and right.rising):
+            return self.merged(a + b) == [a, b]
+        scores, due = self.scores, np.inf
+        while True:
+            score = scores.get(a + b)
+            if score is not None and -score < due:
+                return False
+            if left.rank > right.rank:
+                due, a = left.rank, left.right
+                left = self.tree(a)
+            elif right.rank >= 0:
+                due, b = right.rank + 1, right.left
+                right = self.tree(b)
+            else:
+                return True
+
     def stay_apart(self, a: str, b: str) -> bool:
         """Whether merging ``a`` + ``b`` ends at these two; ``a`` may be empty."""
         known = self.apart.get((a, b))
         if known is None:
-            known = self.apart[a, b] = self.merged(a + b) == ([a, b] if a else [b])
+            known = self.apart[a, b] = self._parted(a, b)
             self.used += len(a) + len(b) + _ENTRY
         return known
 
-    def _step(self, word: str, end: int) -> tuple[int, float]:
-        """Start and score of the last piece of the best path to ``word[:end]``."""
-        starts, scores = self.starts, self.scores
-        found, top = end - 1, -np.inf
-        for start in range(max(0, end - self.longest), end):
+    def _step(self, word: str, end: int) -> tuple[str, float]:
+        """Last piece and score of the best path to ``word[:end]``."""
+        endings, best, lasts, found = self.endings, self.best, self.lasts, []
+        for start in range(end - 1, max(-1, end - self.longest - 1), -1):
             piece = word[start:end]
-            score = scores.get(piece)
-            if score is None:
-                if start < end - 1:
-                    continue
-                score = self.lowest
-            if self.merges:
-                before = word[starts[start] : start] if start else ""
-                if self.stay_apart(before, piece):
-                    return start, self.best[start] + score
-            elif self.best[start] + score > top:
-                found, top = start, self.best[start] + score
+            if piece not in endings:
+                break
+            score = endings[piece]
+            if score is not False:
+                found.append((start, piece, score))
+        if not found:  # a sign of no piece
+            found.append((end - 1, word[end - 1], self.lowest))
         if self.merges:
-            found = end - len(self.merged(word[:end])[-1])
-        return found, top
+            for start, piece, score in reversed(found):
+                if self.stay_apart(lasts[start], piece):
+                    return piece, best[start] + score
+            return self.merged(word[:end])[-1], -np.inf
+        start, piece, score = max(reversed(found), key=lambda one: best[one[0]] + one[2])
+        return piece, best[start] + score
 
     def _walk(self, word: str) -> list[str]:
         """Pieces of a word; states of the prefix shared with the last word are reused."""
         shared = len(commonprefix([self.last, word]))
-        del self.starts[shared + 1 :], self.best[shared + 1 :]
+        del self.lasts[shared + 1 :], self.best[shared + 1 :]
         for end in range(shared + 1, len(word) + 1):
-            start, score = self._step(word, end)
-            self.starts.append(start)
+            piece, score = self._step(word, end)
+            self.lasts.append(piece)
             self.best.append(score)
         self.last = word
         pieces, end = [], len(word)
         while end:
-            pieces.append(word[self.starts[end] : end])
-            end = self.starts[end]
+            pieces.append(self.lasts[end])
+            end -= len(pieces[-1])
         return pieces[::-1]
 
     def _numbers(self, pieces: list[str]) -> list[int]:

@@ -392,3 +392,13 @@ def test_windows_cover_the_text():
     assert max(map(len, toxicity.windows(text))) <= toxicity.LONGEST
 
 
+
+
+def test_pieces_stay_apart_as_merging_leaves_them():
+    model = Model(PIECES)
+    pieces = sorted(model.ids)
+    alike = [(a, b) for i in range(0, len(pieces), 40) for a in (pieces[i], pieces[i][:1]) for b in pieces[i : i + 5]]
+    spread = [(pieces[i], pieces[(i * 7919) % len(pieces)]) for i in range(0, len(pieces), 9)]
+    for a, b in alike + spread:
+        if model.merged(a) == [a] and model.merged(b) == [b]:
+            assert model._parted(a, b) == (model.merged(a + b) == [a, b]), (a, b)
