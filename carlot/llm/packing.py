@@ -256,4 +256,4 @@ def op6_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None,
     """Places of all token pieces, with a digest of their ids instead of these."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    return pack(token_pieces(docs, path, capacity, sums=True).drop("ids"), capacity)
+    return pack(token_pieces(docs, path, capacity, ids=False, sums=True), capacity)

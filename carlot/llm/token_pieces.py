@@ -108,7 +108,7 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def _pieces(path: str, text: str, key: str, capacity: int, sums: bool):
+def _pieces(path: str, text: str, key: str, capacity: int, keep: bool, sums: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordEncoder(path))
         for full in batches:
@@ -125,8 +125,9 @@ def _pieces(path: str, text: str, key: str, capacity: int, sums: bool):
                 columns = {
                     key: batch.column(key).take(pa.array(row)), "piece": pa.array(piece, pa.int32()),
                     "start": pa.array(start, pa.int64()), "length": pa.array(last - first, pa.int64()),
-                    "ids": pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32))),
                 }
+                if keep:
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32)))
                 if sums:
                     words, ends = ids.astype("<u4"), bounds.tolist()
                     columns["ids_crc32"] = pa.array([zlib.crc32(words[a:b]) for a, b in zip(ends, ends[1:])], pa.int64())
@@ -137,9 +138,10 @@ def _pieces(path: str, text: str, key: str, capacity: int, sums: bool):
 
 
 def token_pieces(
-    docs: DataFrame, path: str, capacity: int, text: str = "text", key: str = "doc_id", sums: bool = False
+    docs: DataFrame, path: str, capacity: int, text: str = "text", key: str = "doc_id",
+    ids: bool = True, sums: bool = False,
 ) -> DataFrame:
-    """A row per piece of a row of ``docs``: key, piece, start, length, ids.
+    """A row per piece of a row of ``docs``: key, piece, start, length, and with ``ids`` its ids.
 
     A text becomes its token ids and id 0; null is empty, so every row has at
     least one piece.  Only texts of more than ``capacity`` ids are cut.  With ``sums``
@@ -150,8 +152,8 @@ def token_pieces(
             docs.schema[key],
             T.StructField("piece", T.IntegerType()),
             *(T.StructField(c, T.LongType()) for c in ("start", "length")),
-            T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+            *([T.StructField("ids", T.ArrayType(T.IntegerType(), False))] if ids else []),
             *([T.StructField("ids_crc32", T.LongType())] if sums else []),
         ]
     )
-    return docs.select(key, text).mapInArrow(_pieces(path, text, key, capacity, sums), schema)
+    return docs.select(key, text).mapInArrow(_pieces(path, text, key, capacity, ids, sums), schema)
