@@ -53,6 +53,10 @@ class Tree(NamedTuple):
 _LEAF = Tree(-1, "", "", True)
 
 
+def _number(i: int) -> bytes:
+    return i.to_bytes(4, "little", signed=True)
+
+
 class Model:
     """Pieces and scores of a SentencePiece file; no piece may hold a space after other signs."""
 
@@ -68,6 +72,7 @@ class Model:
         self.endings: dict[str, float | bool] = {p[at:]: False for p in self.ids for at in range(len(p))}
         self.endings.update({p[-1]: self.lowest for p in self.ids})
         self.endings.update(self.scores)
+        self.numbers = {p: _number(i) for p, i in self.ids.items()}
         self.unknown = sp.unk_id()
         self.bytes = {int(sp.id_to_piece(i)[3:-1], 16): i for i in range(size) if sp.is_byte(i)}
         # scores of merges are minus their rank; probabilities are not whole numbers
@@ -181,14 +186,39 @@ class Model:
         start, piece, score = max(reversed(found), key=lambda one: best[one[0]] + one[2])
         return piece, best[start] + score
 
+    def _extend(self, word: str, shared: int) -> None:
+        """States behind ``word[:shared]`` where one piece alone stays apart from what is before it.
+
+        That holds for pieces whose merges have ranks of their own, so the first that is found is taken.
+        """
+        endings, lasts, best, longest, apart = self.endings, self.lasts, self.best, self.longest, self.apart
+        for end in range(shared + 1, len(word) + 1):
+            found = None
+            for start in range(end - 1, max(-1, end - longest - 1), -1):
+                piece = word[start:end]
+                if piece not in endings:
+                    break
+                if endings[piece] is not False:
+                    known = apart.get((lasts[start], piece))
+                    if known or (known is None and self.stay_apart(lasts[start], piece)):
+                        found, score = piece, best[start] + endings[piece]
+                        break
+            if found is None:  # a sign of no piece, or merges that are no tree
+                found, score = self._step(word, end)
+            lasts.append(found)
+            best.append(score)
+
     def _walk(self, word: str) -> list[str]:
         """Pieces of a word; states of the prefix shared with the last word are reused."""
         shared = len(commonprefix([self.last, word]))
         del self.lasts[shared + 1 :], self.best[shared + 1 :]
-        for end in range(shared + 1, len(word) + 1):
-            piece, score = self._step(word, end)
-            self.lasts.append(piece)
-            self.best.append(score)
+        if self.merges and 2 * SPACE not in word:
+            self._extend(word, shared)
+        else:
+            for end in range(shared + 1, len(word) + 1):
+                piece, score = self._step(word, end)
+                self.lasts.append(piece)
+                self.best.append(score)
         self.last = word
         pieces, end = [], len(word)
         while end:
@@ -196,16 +226,20 @@ class Model:
             end -= len(pieces[-1])
         return pieces[::-1]
 
-    def _numbers(self, pieces: list[str]) -> list[int]:
-        out: list[int] = []
-        for piece in pieces:
-            if piece in self.ids:
-                out.append(self.ids[piece])
-            elif self.bytes:
-                out += [self.bytes[b] for b in piece.encode()]
-            elif not out or out[-1] != self.unknown:
-                out.append(self.unknown)
-        return out
+    def _coded(self, pieces: list[str]) -> bytes:
+        """Ids of the pieces of a word as little-endian 32-bit numbers."""
+        try:
+            return b"".join([self.numbers[p] for p in pieces])
+        except KeyError:
+            out: list[bytes] = []
+            for piece in pieces:
+                if piece in self.numbers:
+                    out.append(self.numbers[piece])
+                elif self.bytes:
+                    out += [_number(self.bytes[b]) for b in piece.encode()]
+                elif not out or out[-1] != _number(self.unknown):
+                    out.append(_number(self.unknown))
+            return b"".join(out)
 
     def words(self, text: str) -> list[str]:
         """The marked words of a text, after the model's own normalisation."""
@@ -224,7 +258,7 @@ class Model:
             self.forget()
         long = {}
         for word in sorted(set().union(*split) - self.known.keys()):
-            ids = np.array(self._numbers(self._walk(word)), "<i4").tobytes()
+            ids = self._coded(self._walk(word))
             if len(word) > LONG:
                 long[word] = ids
             else:
@@ -252,7 +286,7 @@ def _encoded(path: str, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
         for whole in batches:
-            for batch in byte_slices(whole, text, 1 << 20):
+            for batch in byte_slices(whole, text, 4 << 20):
                 ids = model.encode([t or "" for t in batch.column(text).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])])
                 flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
