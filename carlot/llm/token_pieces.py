@@ -19,8 +19,9 @@ from carlot.llm.arrow_text import byte_slices, whole
 #: split parts them, so each is encoded apart.  Apostrophes and "<" stay with
 #: what surrounds them: contractions and special tokens need it.
 _PARTS = re.compile(r"([^\W\d_]*)([.,!?;:#$%&*|()\"@=+-]*)")
+_MARKS = ".,!?;:#$%&*|()\"@=+-"
 #: Bytes that an encoder remembers, about; the process forgets all beyond.
-CACHED = 64 << 20
+CACHED = 192 << 20
 #: Bytes of one remembered part besides its text and ids.
 _ENTRY = 150
 
@@ -44,33 +45,36 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        # part 0 is empty, part 1 is the id 0 that closes a document
+        # part 0 is empty, part 1 is the id 0 that closes a document; other chunks are kept behind a space
         self.known: dict[str, int] = {"": 0}
         # sizes and ids of the parts in order, in runs that encode() joins
         self.sizes, self.ids = [np.array([0, 1], np.int64)], [np.zeros(1, np.uint32)]
         self.used = 0
 
-    def _add(self, keys: list[str], ids: list[np.ndarray]) -> None:
-        if keys:
-            first = len(self.known) + 1
-            self.known.update(zip(keys, range(first, first + len(keys))))
-            self.sizes.append(np.array([len(own) for own in ids], np.int64))
-            self.ids.append(np.concatenate(ids))
-            self.used += sum(map(len, keys)) + 4 * len(self.ids[-1]) + _ENTRY * len(keys)
+    def _add(self, keys: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        first = len(self.known) + 1
+        self.known.update(zip(keys, range(first, first + len(keys))))
+        self.sizes.append(sizes)
+        self.ids.append(ids)
+        self.used += sum(map(len, keys)) + 4 * len(ids) + _ENTRY * len(keys)
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
+    def _add_each(self, keys: list[str], texts: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self._add(keys, np.array([len(own) for own in found], np.int64), np.array(sum(found, []), np.uint32))
 
     def _learn(self, runs: list[str], odd: list[str]) -> None:
         """Runs of one kind of character are one word each: encode many at once."""
         for at in range(0, len(runs), 500):
             some = runs[at : at + 500]
-            ids = self._encode([" ".join(some)])[0]
+            found = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found[0].ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
-            whole = len(stops) == len(some)
-            self._add(some, np.split(ids, stops[:-1]) if whole else self._encode(some))
-        self._add(["<" + o for o in odd], self._encode(odd))
+            if len(stops) == len(some):
+                self._add(some, np.diff(stops, prepend=0), ids)
+            else:
+                self._add_each(some, some)
+        for at in range(0, len(odd), 500):
+            self._add_each([" " + o for o in odd[at : at + 500]], odd[at : at + 500])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with id 0 behind each text, and the texts' offsets in them."""
@@ -78,21 +82,29 @@ class WordEncoder:
             self._forget()
         chunks = pc.ascii_split_whitespace(whole(texts))
         coded = chunks.flatten().dictionary_encode()
-        keys, runs, odd = [], {}, {}
+        known, first, second, open_, runs, odd = self.known, [], [], [], {}, {}
         for chunk in coded.dictionary.to_pylist():
-            letters, marks = _PARTS.match(chunk).groups()
-            if len(letters) + len(marks) == len(chunk):
-                letters = letters.lower() if letters.isascii() else letters
-                for part in (letters, marks):
-                    if part not in self.known:
-                        runs[part] = None
-                keys.append((letters, marks))
-            else:
-                if "<" + chunk not in self.known:
-                    odd[chunk] = None
-                keys.append(("<" + chunk, ""))
+            letters = chunk.rstrip(_MARKS)
+            a, b = known.get(letters), known.get(chunk[len(letters) :])
+            if a is None or b is None:  # not by parts that are known as they stand
+                letters, marks = _PARTS.match(chunk).groups()
+                if len(letters) + len(marks) == len(chunk):
+                    parts = letters.lower() if letters.isascii() else letters, marks
+                    for part in parts:
+                        if part not in known:
+                            runs[part] = None
+                else:
+                    parts = " " + chunk, ""
+                    if parts[0] not in known:
+                        odd[chunk] = None
+                a, b = 0, 0
+                open_.append((len(first), *parts))
+            first.append(a)
+            second.append(b)
         self._learn(list(runs), list(odd))
-        pairs = np.array([(self.known[a], self.known[b]) for a, b in keys], np.int64).reshape(-1, 2)
+        for at, letters, marks in open_:
+            first[at], second[at] = known[letters], known[marks]
+        pairs = np.array([first, second], np.int64).T
         offsets = chunks.offsets.to_numpy() - chunks.offsets[0].as_py()
         parts = np.insert(pairs[coded.indices.to_numpy(zero_copy_only=False)].ravel(), 2 * offsets[1:], 1)
         sizes, flat = np.concatenate(self.sizes), np.concatenate(self.ids)
@@ -112,7 +124,7 @@ def _pieces(path: str, text: str, key: str, capacity: int, keep: bool, sums: boo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordEncoder(path))
         for full in batches:
-            for batch in byte_slices(full, text):
+            for batch in byte_slices(full, text, 8 << 20):
                 ids, offsets = encoder.encode(batch.column(text))
                 counts = -(-np.diff(offsets) // capacity)
                 row = np.repeat(np.arange(len(counts)), counts)

@@ -394,6 +394,15 @@ def test_windows_cover_the_text():
 
 
 
+def test_word_encoder_remembers_odd_chunks_apart():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, exact = WordEncoder(path), Tokenizer.from_file(path)
+    for texts in (["x1 <x1 Word, word"], ["<x1 x1 < <word word; Word ,."], ["x1", "<x1", " WORD!"]):
+        ids, offsets = own.encode(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == exact.encode(text, add_special_tokens=False).ids + [0]
+
+
 def test_pieces_stay_apart_as_merging_leaves_them():
     model = Model(PIECES)
     pieces = sorted(model.ids)
