@@ -91,11 +91,13 @@ class Model:
         self.forget()
 
     def forget(self) -> None:
-        self.apart: dict[tuple[str, str], bool] = {}
+        # by the piece before, then by the piece behind the border
+        self.apart: dict[str, dict[str, bool]] = {"": {}}
         self.known: dict[str, bytes] = {}
         self.used = 0
         self.lasts: list[str] = [""]
         self.best: list[float] = [0.0]
+        self.behind: list[dict[str, bool]] = [self.apart[""]]
         self.last = ""
 
     def merged(self, text: str) -> list[str]:
@@ -160,10 +162,11 @@ class Model:
 
     def stay_apart(self, a: str, b: str) -> bool:
         """Whether merging ``a`` + ``b`` ends at these two; ``a`` may be empty."""
-        known = self.apart.get((a, b))
+        behind = self.apart.setdefault(a, {})
+        known = behind.get(b)
         if known is None:
-            known = self.apart[a, b] = self._parted(a, b)
-            self.used += len(a) + len(b) + _ENTRY
+            known = behind[b] = self._parted(a, b)
+            self.used += len(b) + _ENTRY
         return known
 
     def _step(self, word: str, end: int) -> tuple[str, float]:
@@ -191,7 +194,7 @@ class Model:
 
         That holds for pieces whose merges have ranks of their own, so the first that is found is taken.
         """
-        endings, lasts, best, longest, apart = self.endings, self.lasts, self.best, self.longest, self.apart
+        endings, lasts, best, behind, longest = self.endings, self.lasts, self.best, self.behind, self.longest
         for end in range(shared + 1, len(word) + 1):
             found = None
             for start in range(end - 1, max(-1, end - longest - 1), -1):
@@ -199,7 +202,7 @@ class Model:
                 if piece not in endings:
                     break
                 if endings[piece] is not False:
-                    known = apart.get((lasts[start], piece))
+                    known = behind[start].get(piece)
                     if known or (known is None and self.stay_apart(lasts[start], piece)):
                         found, score = piece, best[start] + endings[piece]
                         break
@@ -207,11 +210,12 @@ class Model:
                 found, score = self._step(word, end)
             lasts.append(found)
             best.append(score)
+            behind.append(self.apart.setdefault(found, {}))
 
     def _walk(self, word: str) -> list[str]:
         """Pieces of a word; states of the prefix shared with the last word are reused."""
         shared = len(commonprefix([self.last, word]))
-        del self.lasts[shared + 1 :], self.best[shared + 1 :]
+        del self.lasts[shared + 1 :], self.best[shared + 1 :], self.behind[shared + 1 :]
         if self.merges and 2 * SPACE not in word:
             self._extend(word, shared)
         else:
@@ -219,6 +223,7 @@ class Model:
                 piece, score = self._step(word, end)
                 self.lasts.append(piece)
                 self.best.append(score)
+                self.behind.append(self.apart.setdefault(piece, {}))
         self.last = word
         pieces, end = [], len(word)
         while end:
