@@ -96,13 +96,16 @@ def hierarchy_counts(df: DataFrame) -> DataFrame:
     """Per brand: its rows and distinct series; with totals over all brands.
 
     Rows are counted per (brand, series) first, which is all that distinct
-    counting needs.
+    counting needs; the counts per brand are kept for the totals.
     """
     pairs = df.groupBy(F.col("marka").alias("brand"), F.col("seri").alias("series")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    per_brand = pairs.groupBy("brand").agg(
-        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_series")
+    per_brand = stage(
+        pairs.groupBy("brand").agg(
+            F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_series")
+        ),
+        "brand-counts",
     )
     return per_brand.withColumns(
         {

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from carlot.operators import hierarchy
 from carlot.plans.fixtures import Views
 from carlot.plans.sql_views import with_views
+from carlot.session import stage
 
 
 def _class_index(views: Views) -> DataFrame:
@@ -38,8 +39,10 @@ def _hierarchy_config(views: Views) -> DataFrame:
 
 
 def _label_rows(views: Views) -> DataFrame:
-    index = hierarchy.class_index(views.listing_clean)
-    return hierarchy.label_rows(views.listing_clean, index).select(
+    rows = stage(
+        views.listing_clean.select("site", "page", "idx", "marka", "seri", "model"), "names"
+    )
+    return hierarchy.label_rows(rows, hierarchy.class_index(rows)).select(
         "site", "page", "idx", "marka", "seri", "model", "brand_idx", "series_idx", "trim_idx"
     )
 

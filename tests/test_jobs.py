@@ -1,11 +1,14 @@
 """Files, streams and models."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from carlot.operators import combine, heads, pricing, training
+from carlot.plans import fixtures
 from carlot.plans.fixtures import render_pages
 from carlot.plans.score_queries import _labelled
 from carlot.schema import KEY_COLUMNS
@@ -370,3 +373,47 @@ def test_csv_of_two_headers_in_one_folder_stops(spark, tmp_path):
     (tmp_path / "b.csv").write_text("model,marka\n1.4,Fiat\n")
     with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE"):
         listings.read_listings(spark, str(tmp_path), "marka string, model string").collect()
+
+
+def test_csv_files_have_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(listings, "RECORDS_PER_FILE", 10)
+    path = str(tmp_path / "out")
+    listings.write_processed(spark.range(95).selectExpr("string(id) as a", "'x\n\"y' as b").coalesce(1), path)
+    read = listings.read_listings(spark, path, "a string, b string")
+    assert len(list((tmp_path / "out").glob("*.csv.gz"))) == 10
+    assert read.count() == 95 and {r.b for r in read.collect()} == {'x\n"y'}
+
+
+def test_line_items_come_in_slices_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "SLICE", 10_000)
+    views = fixtures.Views(spark, "/root/testdata/sf0.001")
+    size = sum(f.stat().st_size for f in [Path("/root/testdata/sf0.001/lineitem.parquet")])
+    assert views.lineitem.rdd.getNumPartitions() == -(-size // 10_000) > 8
+
+
+def test_rejects_parse_a_page_once(spark):
+    made = spark.createDataFrame([], "site int, page long, html string")
+    plan = pages.extract_listings(made, rejects=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan and plan.count("do-vehicle-card__container") == 2
+
+
+def test_elements_end_at_their_own_closing_tag(spark):
+    cases = {
+        "<p>a</p>b": "<p>a</p>",
+        "<P class='x'>a<b>c</b></p >d": "<P class='x'>a<b>c</b></p >",
+        "<p>a<p>b</p>c</p>d": "<p>a<p>b</p>c</p>",
+        "<p t='</p>'>a</p>": "<p t='</p>",
+        "<p>a</px></p>b": "<p>a</px></p>",
+        "<p>a": "<p>a",
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    assert {r.c: r.x for r in df.select("c", pages._closed(F.col("c"), F.lit("p")).alias("x")).collect()} == cases
+
+
+def test_text_of_one_element(spark):
+    cases = {
+        "<p> a  b </p>": "a b", "<p>a&nbsp;</p>": "a", "<br>a</p>": "a", "<p>a<br>b</p>": "a\nb",
+        "<p></p>": "", "<p>a</p>b": "a\nb", "<b>a</b>b": "ab", "<!-- x -->a</p>": "a",
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    assert {r.c: r.x for r in df.select("c", pages.html_text(F.col("c")).alias("x")).collect()} == cases

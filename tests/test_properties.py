@@ -198,3 +198,35 @@ def test_true_heads_are_joined_by_three_keys(spark):
     plan = scores.hier_accuracy(table, labels)._jdf.queryExecution().optimizedPlan().toString()
     joined = [line for line in plan.splitlines() if "Join Inner" in line]
     assert len(joined) == 1 and all(joined[0].count(f"{k}#") == 2 for k in ("image_id", "level", "node"))
+
+
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_only_rows_with_copies_are_grouped(spark, tmp_path, monkeypatch, words):
+    """Rows of a hash of their own pass by; a full bitmap changes nothing but the work."""
+    monkeypatch.setattr(cleaning, "HASH_WORDS", words)
+    kept = []
+    monkeypatch.setattr(cleaning, "stage", lambda df, label="stage": kept.append((label, df)) or df)
+    rows = [(0, i, 0, "a", str(i % 900) if i % 7 else None, f"p{i}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "site int, page long, idx long, marka string, seri string, image_path string")
+    found = {tuple(r) for r in cleaning.dedupe_listings(df).collect()}
+    first = {}
+    for r in rows:
+        first.setdefault(r[3:5], r)
+    assert found == set(first.values())
+    grouped = dict(kept)["copies"]
+    assert grouped.count() < (200 if words > 1 else 1000)
+
+
+def test_counts_per_brand_read_the_listings_once(spark):
+    """Totals come from the counts per brand, not from the listings again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "marka string, seri string")
+    got = hierarchy.hierarchy_counts(df.mapInArrow(count, df.schema)).orderBy("brand").collect()
+    assert [tuple(r) for r in got] == [("a", 2, 2, 3, 2), ("b", 1, 1, 3, 2)]
+    assert seen.value == 3
