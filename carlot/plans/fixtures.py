@@ -40,6 +40,12 @@ class Views:
         files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
         return files.load(f"{self.sf_dir}/{name}.parquet").agg(F.sum("length")).first()[0] or 0
 
+    @cached_property
+    def slices(self) -> int:
+        """Number of partitions of bounded size for rows of the line items, at least one per core."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return max(cores, -(-self._bytes("lineitem") // SLICE))
+
     @cached_property
     def lineitem(self) -> DataFrame:
         """The line items in slices of bounded size, at least one per core.
@@ -49,11 +55,9 @@ class Views:
         A part table too large to broadcast is joined by shuffle; the slices are then dealt
         by its key, which spares a second shuffle.
         """
-        slices = -(-self._bytes("lineitem") // SLICE)
-        cores = self.spark.sparkContext.defaultParallelism
         limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
         keys = ["l_partkey"] if self._bytes("part") > limit else ["l_orderkey", "l_linenumber"]
-        return self.table("lineitem").repartition(max(cores, slices), *keys)
+        return self.table("lineitem").repartition(self.slices, *keys)
 
     @cached_property
     def listing_raw(self) -> DataFrame:
@@ -237,7 +241,7 @@ class Views:
     @cached_property
     def rendered_pages(self) -> DataFrame:
         """Every page of ``listing_raw`` as HTML in the dialect of its site."""
-        return render_pages(self.listing_raw)
+        return render_pages(self.listing_raw, 4 * self.slices)
 
 
 def _escape(c: Column) -> Column:
@@ -295,19 +299,23 @@ def _row_markup() -> Column:
     )
 
 
-def render_pages(rows: DataFrame) -> DataFrame:
+def render_pages(rows: DataFrame, parts: int | None = None) -> DataFrame:
     """``site, page, html``: the listings of a page in key order.
 
-    A page is one order of the source tables, a handful of rows.
+    A page is one order of the source tables, a handful of rows.  Its markup is long but
+    shrinks in the shuffle, and reading it is slow, so ``parts`` may name more partitions
+    than adaptive execution would leave.
     """
     body = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("idx", "markup"))), lambda x: x["markup"]),
         "",
     )
     site = F.col("site")
+    marked = rows.select("site", "page", "idx", _row_markup().alias("markup"))
+    if parts:
+        marked = marked.repartition(parts, "site", "page")
     return (
-        rows.withColumn("markup", _row_markup())
-        .groupBy("site", "page")
+        marked.groupBy("site", "page")
         .agg(body.alias("body"))
         .select(
             "site",
