@@ -68,6 +68,7 @@ class Model:
         self.scores = {sp.id_to_piece(i): sp.get_score(i) for i in plain}
         self.longest = max(map(len, self.ids), default=1)
         self.lowest = min(self.scores.values(), default=0.0) - 10.0
+        self.ended = None  # the scores that ``endings`` holds
         self.numbers = {p: _number(i) for p, i in self.ids.items()}
         self.unknown = sp.unk_id()
         self.bytes = {int(sp.id_to_piece(i)[3:-1], 16): i for i in range(size) if sp.is_byte(i)}
@@ -87,10 +88,12 @@ class Model:
         self.forget()
 
     def forget(self) -> None:
-        # every text that a piece ends with: its score if it is a piece or a sign, else False
-        self.endings: dict[str, float | bool] = {p[at:]: False for p in self.ids for at in range(len(p))}
-        self.endings.update({p[-1]: self.lowest for p in self.ids})
-        self.endings.update(self.scores)
+        if self.ended is not self.scores:
+            # every text that a piece ends with: its score if it is a piece or a sign, else False
+            self.endings: dict[str, float | bool] = {p[at:]: False for p in self.ids for at in range(len(p))}
+            self.endings.update({p[-1]: self.lowest for p in self.ids})
+            self.endings.update(self.scores)
+            self.ended = self.scores
         # by the piece before, then by the piece behind the border
         self.apart: dict[str, dict[str, bool]] = {"": {}}
         self.known: dict[str, bytes] = {}
@@ -275,8 +278,7 @@ class Model:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the space that encoding puts first is taken off."""
-        spelled = self.spelled
-        text = b"".join([spelled[i] for i in ids.tolist()]).decode("utf-8", "replace")
+        text = b"".join(map(self.spelled.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 

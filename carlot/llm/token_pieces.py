@@ -22,6 +22,8 @@ _PARTS = re.compile(r"([^\W\d_]*)([.,!?;:#$%&*|()\"@=+-]*)")
 _MARKS = ".,!?;:#$%&*|()\"@=+-"
 #: Bytes that an encoder remembers, about; the process forgets all beyond.
 CACHED = 192 << 20
+#: The same where ids leave the worker, which takes memory of its own.
+CACHED_BESIDE_IDS = 64 << 20
 #: Bytes of one remembered part besides its text and ids.
 _ENTRY = 150
 
@@ -38,6 +40,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.room = CACHED
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -78,7 +81,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with id 0 behind each text, and the texts' offsets in them."""
-        if self.used > CACHED:
+        if self.used > self.room:
             self._forget()
         chunks = pc.ascii_split_whitespace(whole(texts))
         coded = chunks.flatten().dictionary_encode()
@@ -123,8 +126,9 @@ _ENCODERS: dict[str, WordEncoder] = {}
 def _pieces(path: str, text: str, key: str, capacity: int, keep: bool, sums: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordEncoder(path))
+        encoder.room, slice_bytes = (CACHED_BESIDE_IDS, 2 << 20) if keep else (CACHED, 8 << 20)
         for full in batches:
-            for batch in byte_slices(full, text, 8 << 20):
+            for batch in byte_slices(full, text, slice_bytes):
                 ids, offsets = encoder.encode(batch.column(text))
                 counts = -(-np.diff(offsets) // capacity)
                 row = np.repeat(np.arange(len(counts)), counts)

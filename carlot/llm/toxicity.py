@@ -188,7 +188,7 @@ def train(
     driver is bounded: ids of the sample, stems in ``support`` of a class's
     documents, ``windows_total`` runs of windows and one row of numbers per sampled document.
     Without documents of both classes, or where no stem tells them apart, the model scores
-    the toxic share of the sample everywhere, 0.01 if there is none.  Other labels than 0
+    the toxic share of the sample everywhere, at least 0.01, and 0.5 without labels.  Other labels than 0
     and 1 are not used; of several of one document the largest counts.
     """
     known = labels.filter(F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -199,7 +199,8 @@ def train(
     sample = stage(sample, "toxicity-sample").repartition(64, "doc_id")
     toxic, ordinary = sample.filter("label = 1"), sample.filter("label = 0")
     n_toxic, n_ordinary = toxic.count(), ordinary.count()
-    share = min(0.99, max(0.01, n_toxic / max(1, n_toxic + n_ordinary)))
+    n_known = n_toxic + n_ordinary
+    share = min(0.99, max(0.01, n_toxic / n_known)) if n_known else 0.5
     unknowing = Dictionaries(intercept=math.log(share / (1 - share)))
     if not n_toxic or not n_ordinary:
         return unknowing

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from carlot.llm import chat_format, exact_dedup, ngram_join, packing, pii_surrogates, quality_rules, secret_scan, toxicity
+import carlot.llm.token_pieces as pieces_of
 from carlot.llm.ann_projection import nearest_neighbours
 from carlot.llm.components import components
 from carlot.llm.sentencepiece_viterbi import Model, decode, encode
@@ -411,3 +412,14 @@ def test_pieces_stay_apart_as_merging_leaves_them():
     for a, b in alike + spread:
         if model.merged(a) == [a] and model.merged(b) == [b]:
             assert model._parted(a, b) == (model.merged(a + b) == [a, b]), (a, b)
+
+
+def test_encoder_remembers_less_where_ids_leave_the_worker():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b", None]})
+    rooms = []
+    for keep in (True, False):
+        pieces = list(pieces_of._pieces(path, "text", "doc_id", 2, keep, not keep)(iter([batch])))
+        rooms.append(pieces_of._ENCODERS[path].room)
+        assert sum(p.num_rows for p in pieces) == 3
+    assert rooms == [pieces_of.CACHED_BESIDE_IDS, pieces_of.CACHED]
