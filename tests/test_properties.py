@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from carlot.operators import cleaning, hierarchy, masks, pricing, scores
 from carlot.operators.ordering import sorted_index
-from carlot.schema import IDENTITY_COLUMNS, KEY_COLUMNS, LISTING_COLUMNS
+from carlot.schema import IDENTITY_COLUMNS, KEY_COLUMNS, LISTING_COLUMNS, PROCESSED_IMAGE_DIR
 from carlot.session import stage
 from carlot.sources import crawl
+from carlot.sources.listings import normalize_na
 
 
 def rows_of(df):
@@ -230,3 +231,42 @@ def test_counts_per_brand_read_the_listings_once(spark):
     got = hierarchy.hierarchy_counts(df.mapInArrow(count, df.schema)).orderBy("brand").collect()
     assert [tuple(r) for r in got] == [("a", 2, 2, 3, 2), ("b", 1, 1, 3, 2)]
     assert seen.value == 3
+
+
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_rows_whose_image_is_sure_pass_without_a_shuffle(spark, monkeypatch, words):
+    """Only rows in the bitmap are joined; a full one, nulls and repeats change no result."""
+    monkeypatch.setattr(cleaning, "HASH_WORDS", words)
+    parts, parted = [], cleaning._parted
+    monkeypatch.setattr(cleaning, "_parted", lambda *a: parts.append(parted(*a)) or parts[-1])
+    images = [f"d/p{i % 400}.jpg" if i % 9 else None for i in range(1000)]
+    rows = [(0, i, 0, p) for i, p in enumerate(images)]
+    df = stage(spark.createDataFrame(rows, "site int, page long, idx long, image_path string"))
+    bad, there = ["p3.jpg", "p5.jpg", "p5.jpg", None], [f"p{i}.jpg" for i in range(0, 390)] * 2 + [None]
+    failed, files = (spark.createDataFrame([(n,) for n in names], "basename string") for names in (bad, there))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        left = cleaning.drop_failed_images(df, failed)
+        found = cleaning.keep_existing_images(df, files, df)
+        assert rows_of(left) == sorted((r for r in rows if not r[3] or r[3][2:] not in bad), key=repr)
+        assert rows_of(found) == sorted(
+            ((*r[:3], f"{PROCESSED_IMAGE_DIR}/{r[3][2:]}") for r in rows if r[3] and r[3][2:] in there), key=repr
+        )
+        for joined, passed in parts:
+            assert joined.count() + passed.count() == 1000
+            assert joined.count() <= (150 if words > 1 else 1000)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_clean_chain_agrees_with_its_steps(spark, views):
+    """The chain, which joins only rows of missing names, and its steps one by one."""
+    raw, files, failed = views.listing_raw, views.image_files, views.failed_images
+    whole = cleaning.clean_listings(raw, files, failed)
+    steps = cleaning.dedupe_listings(cleaning.drop_incomplete(normalize_na(raw)))
+    steps = cleaning.drop_failed_images(cleaning.min_samples(steps), failed)
+    steps = cleaning.keep_existing_images(cleaning.rename_brands(cleaning.repair_series(steps)), files)
+    assert rows_of(whole.select(*KEY_COLUMNS, "image_path")) == rows_of(steps.select(*KEY_COLUMNS, "image_path"))
+    names = rows_of(views.image_files.select("basename"))
+    assert names == rows_of(raw.where("page % 17 <> 0 and image_path is not null").selectExpr(
+        "substring_index(image_path, '/', -1) as basename").distinct())
