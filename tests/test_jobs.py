@@ -1,6 +1,7 @@
 """Files, streams and models."""
 
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml import Pipeline
@@ -8,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from carlot.operators import combine, heads, pricing, training
-from carlot.plans import fixtures
+from carlot.plans import fixtures, source_queries
 from carlot.plans.fixtures import render_pages
 from carlot.plans.score_queries import _labelled
 from carlot.schema import KEY_COLUMNS
@@ -417,3 +418,14 @@ def test_text_of_one_element(spark):
     }
     df = spark.createDataFrame([(c,) for c in cases], "c string")
     assert {r.c: r.x for r in df.select("c", pages.html_text(F.col("c")).alias("x")).collect()} == cases
+
+
+def test_landed_pages_are_rendered_once(spark):
+    """Each lot is read from one written copy; pages made anew would not be the same ones."""
+    table = '<table id="searchResultsTable"><tbody><tr></tr><tr><td> x</td></tr></tbody></table>'
+    made = spark.range(8).selectExpr(
+        "0 as site", "id as page",
+        f"concat('{table}', '<!--', reflect('java.util.UUID', 'randomUUID'), '-->') as html",
+    )
+    found = source_queries._ingest_rejects(SimpleNamespace(spark=spark, rendered_pages=made))
+    assert [tuple(r) for r in found.collect()] == [(0, "cell count", 8, 1)]
