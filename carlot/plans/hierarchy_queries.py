@@ -40,7 +40,7 @@ def _hierarchy_config(views: Views) -> DataFrame:
 
 def _label_rows(views: Views) -> DataFrame:
     rows = stage(
-        views.listing_clean.select("site", "page", "idx", "marka", "seri", "model"), "names"
+        views.listing_clean.select("site", "page", "idx", "marka", "seri", "model", "image_path"), "names"
     )
     return hierarchy.label_rows(rows, hierarchy.class_index(rows)).select(
         "site", "page", "idx", "marka", "seri", "model", "brand_idx", "series_idx", "trim_idx"
