@@ -6,10 +6,11 @@ from types import SimpleNamespace
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from carlot.operators import combine, heads, pricing, training
-from carlot.plans import fixtures, source_queries
+from carlot.plans import fixtures, price_queries, source_queries
 from carlot.plans.fixtures import render_pages
 from carlot.plans.score_queries import _labelled
 from carlot.schema import KEY_COLUMNS
@@ -85,6 +86,15 @@ def test_unknown_category_is_all_zeros(spark):
     assert (row.marka, row.seri, row.model) == ([0.0, 0.0], [1.0], [0.0, 1.0])
 
 
+def test_indicators_are_read_without_an_array_of_all_categories(spark):
+    hot = [Vectors.sparse(100000, [70000], [1.0]), Vectors.sparse(3, [], []), Vectors.dense([0.0, 0.0, 1.0])]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(hot)], ["id", "hot"])
+    at, ones = price_queries._place_and_ones(F.col("hot"))
+    out = df.select("id", at.alias("at"), ones.alias("ones"))
+    assert [tuple(r) for r in out.orderBy("id").collect()] == [(0, 70000, 1), (1, -1, 0), (2, 2, 1)]
+    assert "UDF(" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture(scope="module")
 def priced(spark):
     """Listings whose price depends on brand, year and mileage."""

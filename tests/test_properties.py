@@ -9,7 +9,7 @@ from carlot.operators import cleaning, hierarchy, masks, pricing, scores
 from carlot.operators.ordering import sorted_index
 from carlot.schema import IDENTITY_COLUMNS, KEY_COLUMNS, LISTING_COLUMNS, PROCESSED_IMAGE_DIR
 from carlot.session import stage
-from carlot.sources import crawl
+from carlot.sources import crawl, images
 from carlot.sources.listings import normalize_na
 
 
@@ -270,3 +270,24 @@ def test_clean_chain_agrees_with_its_steps(spark, views):
     names = rows_of(views.image_files.select("basename"))
     assert names == rows_of(raw.where("page % 17 <> 0 and image_path is not null").selectExpr(
         "substring_index(image_path, '/', -1) as basename").distinct())
+
+
+def test_clean_chain_reads_hashes_and_missing_names_only(spark, views, monkeypatch):
+    """Copies are found from staged hashes, and the chain's rows meet missing names, not all files."""
+    kept = []
+    whole = cleaning.stage
+    monkeypatch.setattr(cleaning, "stage", lambda df, label="stage": kept.append((label, df)) or whole(df, label))
+    files = stage(views.image_files, "files-of-test")
+    clean = cleaning.clean_listings(views.listing_raw, files, views.failed_images)
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert "files-of-test" not in plan
+    repeated = dict(kept)["repeated"]._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<_spot:bigint>" in repeated
+    assert dict(kept)["missing"].count() < files.count() / 4
+
+
+def test_names_without_a_partner_keep_nulls_and_repeats(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "basename string, n int")
+    right = spark.createDataFrame([("b",), ("b",), (None,)], "basename string")
+    assert rows_of(images.drop_stale_outputs(left, right)) == [("a", 1), ("a", 2), (None, 4)]
+    assert rows_of(images.drop_stale_outputs(left, left)) == [(None, 4)]
