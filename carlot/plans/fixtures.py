@@ -19,6 +19,8 @@ from carlot.session import stage
 
 #: Bytes of line item files per partition, about 200,000 rows.
 SLICE = 4 << 20
+#: Line items of one part, about half a slice, beyond which its key does not deal them.
+BUSY = 100_000
 
 
 def _text(c: Column, kind: str = "int") -> Column:
@@ -53,22 +55,50 @@ class Views:
         Listing rows are some twenty times as large as the line items they come from, so
         partitions of the scan's size, or those that adaptive execution joins, would spill.
         A part table too large to broadcast is joined by shuffle; the slices are then dealt
-        by its key, which spares a second shuffle.
+        by its key, which spares a second shuffle, but for the line items of busy parts.
         """
+        rows = self.table("lineitem")
+        if not self._shuffles_parts:
+            return rows.repartition(self.slices, "l_orderkey", "l_linenumber")
+        if self.busy_parts is not None:
+            rows = rows.join(self.busy_parts, "l_partkey", "left_anti")
+        return rows.repartition(self.slices, "l_partkey")
+
+    @cached_property
+    def _shuffles_parts(self) -> bool:
         limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        keys = ["l_partkey"] if self._bytes("part") > limit else ["l_orderkey", "l_linenumber"]
-        return self.table("lineitem").repartition(self.slices, *keys)
+        return self._bytes("part") > limit
+
+    @cached_property
+    def busy_parts(self) -> DataFrame | None:
+        """Keys of parts with more than ``BUSY`` line items, at most one in ``BUSY`` of these.
+
+        All line items of a part would meet in one slice; adaptive execution does not split
+        slices of a given number.
+        """
+        counts = self.table("lineitem").where("l_partkey is not null").groupBy("l_partkey").count()
+        found = stage(counts.where(F.col("count") > BUSY).select("l_partkey"), "busy-parts")
+        return None if found.isEmpty() else found
 
     @cached_property
     def listing_raw(self) -> DataFrame:
-        return self._listings(self.lineitem)
+        rows = self._listings(self.lineitem, self.table("part"))
+        if not self._shuffles_parts or self.busy_parts is None:
+            return rows
+        # the few busy parts are written, so that the planner sees that they can be broadcast
+        keys = self.busy_parts
+        parts = self.table("part")
+        parts = stage(parts.join(keys, F.col("p_partkey") == F.col("l_partkey"), "left_semi"), "parts")
+        busy = self.table("lineitem").join(keys, "l_partkey", "left_semi")
+        busy = busy.repartition(self.slices, "l_orderkey", "l_linenumber")
+        return rows.unionByName(self._listings(busy, parts))
 
     @cached_property
     def listing_images(self) -> DataFrame:
         """Places and image paths of ``listing_raw``, narrow rows that need no slices."""
-        return self._listings(self.table("lineitem")).select("page", "idx", "image_path")
+        return self._listings(self.table("lineitem"), self.table("part")).select("page", "idx", "image_path")
 
-    def _listings(self, lineitem: DataFrame) -> DataFrame:
+    def _listings(self, lineitem: DataFrame, part: DataFrame) -> DataFrame:
         order, size = F.col("l_orderkey"), F.col("p_size")
         site = F.col("site")
         mercedes = F.col("p_brand") == "Brand#7"
@@ -85,7 +115,7 @@ class Views:
         )
         joined = (
             lineitem.withColumn("site", (order % 4).cast("int"))
-            .join(self.table("part"), F.col("p_partkey") == F.col("l_partkey"))
+            .join(part, F.col("p_partkey") == F.col("l_partkey"))
             .join(self.table("supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
             .join(self.table("nation"), F.col("n_nationkey") == F.col("s_nationkey"))
         )

@@ -402,6 +402,36 @@ def test_line_items_come_in_slices_of_bounded_size(spark, monkeypatch):
     assert views.lineitem.rdd.getNumPartitions() == -(-size // 10_000) > 8
 
 
+def test_line_items_of_a_busy_part_come_in_slices(spark, tmp_path, monkeypatch):
+    """A third of the line items name one part, others one that is missing, none or a rare one."""
+    part = "case when id % 3 = 0 then 1 when id % 7 = 0 then -5 when id % 50 <> 1 then id % 3000 end"
+    made = {
+        "lineitem": spark.range(6000).selectExpr(
+            "id as l_orderkey", f"{part} as l_partkey", "id % 40 as l_suppkey", "int(id % 7) as l_linenumber",
+            "double(id % 50) as l_quantity", "double(id * 20) as l_extendedprice",
+        ),
+        "part": spark.range(3001).selectExpr(
+            "if(id = 3000, 1, id) as p_partkey", "sha2(string(id), 256) as p_name", "'Brand#7' as p_brand",
+            "sha2(string(-id), 256) as p_type", "int(id % 50) as p_size",
+        ),
+        "supplier": spark.range(40).selectExpr("id as s_suppkey", "string(id) as s_name", "int(id % 5) as s_nationkey"),
+        "nation": spark.range(5).selectExpr("int(id) as n_nationkey", "string(id) as n_name"),
+    }
+    for name, rows in made.items():
+        rows.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    expected = sorted(map(str, fixtures.Views(spark, str(tmp_path)).listing_raw.collect()))
+    monkeypatch.setattr(fixtures, "BUSY", 100, raising=False)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        found = fixtures.Views(spark, str(tmp_path)).listing_raw
+        assert sorted(map(str, found.collect())) == expected
+        most = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert most < len(expected) / 4
+
+
 def test_rejects_parse_a_page_once(spark):
     made = spark.createDataFrame([], "site int, page long, html string")
     plan = pages.extract_listings(made, rejects=True)._jdf.queryExecution().optimizedPlan().toString()
