@@ -3,13 +3,15 @@
 from pathlib import Path
 from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from carlot.operators import combine, heads, pricing, training
+from carlot.operators import boosting, combine, heads, pricing, training
 from carlot.plans import fixtures, price_queries, source_queries
 from carlot.plans.fixtures import render_pages
 from carlot.plans.score_queries import _labelled
@@ -127,6 +129,89 @@ def test_price_model_beats_the_mean_and_reloads(spark, priced, tmp_path):
     assert sorted(r.estimate for r in scored.collect()) == sorted(r.estimate for r in again.collect())
 
 
+@pytest.fixture
+def small_fits(spark, priced, monkeypatch):
+    """Views of the priced listings, the sizes that models are asked for, and where they are saved."""
+    sizes, paths = [], []
+    whole, place = pricing.boosted_price_model, price_queries.scratch_path
+
+    def fitted(*size):
+        sizes.append(size)
+        return whole(5, 3, 0.3)
+
+    def placed(session, label):
+        paths.append(place(session, label))
+        return paths[-1]
+
+    monkeypatch.setattr(pricing, "boosted_price_model", fitted)
+    monkeypatch.setattr(price_queries, "scratch_path", placed)
+    key = F.col("id")
+    clean = priced.withColumn("id", F.monotonically_increasing_id()).select(
+        (key % 4).cast("int").alias("site"), key.alias("page"), key.alias("idx"), "*"
+    )
+    return SimpleNamespace(spark=spark, listing_clean=clean), sizes, paths
+
+
+@pytest.mark.parametrize("reload", [False, True])
+def test_price_queries_fit_the_model_of_the_library(small_fits, reload):
+    views, sizes, _ = small_fits
+    assert price_queries._estimates(views, reload).count() == pricing.realistic_filter(views.listing_clean).count()
+    assert sizes == [(1000, 7, 0.05)]
+
+
+def test_trees_do_not_depend_on_how_rows_are_dealt(spark, priced, monkeypatch):
+    """One task, and several that add up their histograms, fit the same trees."""
+    key = F.concat_ws("|", "marka", "seri", F.col("km").cast("string"), "yil")
+
+    def estimates(rows, rounds):
+        model = pricing.train_price_model(rows, None, key, rounds=rounds, depth=4, rate=0.3)
+        return sorted((r.km, r.yil, r.estimate) for r in pricing.score_prices(model, priced).collect())
+
+    long, short = estimates(priced, 8), estimates(priced, 1)
+    monkeypatch.setattr(boosting, "SHARE", 700)
+    monkeypatch.setattr(boosting, "STEP", 100)
+    assert estimates(priced.repartition(7), 8) == long
+    monkeypatch.setattr(boosting, "_mounted", lambda path: None)  # no folder that Python can write to
+    assert estimates(priced.repartition(5), 1) == short
+
+
+def _boosting(n=400, **law):
+    rng = np.random.default_rng(1)
+    frame = pd.DataFrame({"a": rng.normal(size=n).round(1), "b": rng.integers(0, 4, n)})
+    target = (frame["a"] * 10 + (frame["b"] == 2) * 7 + rng.normal(size=n)).to_numpy()
+    columns = boosting.Columns([np.unique(frame["a"])[:-1]], [3])
+    whole = {"rounds": 1, "depth": 1, "rate": 0.5, "rows": 1.0, "columns": 1.0, "seed": 1, **law}
+    model = boosting.Boosting(columns, boosting.Law(**whole), target.mean(), 2.0**-30)
+    return frame, target, list(model.run(columns.binned(frame), target, np.arange(n).astype(np.uint64)))
+
+
+def test_first_split_is_the_best_of_all():
+    frame, target, (nodes,) = _boosting()
+    rest = target - target.mean()
+
+    def gain(right):
+        return sum(rest[p].sum() ** 2 / (p.sum() + 1) for p in (right, ~right)) - rest.sum() ** 2 / (len(rest) + 1)
+
+    cuts = [(gain((frame["a"] > t).to_numpy()), 0, t) for t in np.unique(frame["a"])[:-1]]
+    cuts += [(gain((frame["b"] == k).to_numpy()), 1 + k, 0.5) for k in range(3)]
+    root = nodes.iloc[0]
+    assert (root["gain"], root["feature"], root["threshold"]) == (pytest.approx(max(cuts)[0]), *max(cuts)[1:])
+    right = (frame["a"] > root["threshold"]).to_numpy()
+    assert nodes["value"][2] == pytest.approx(rest[right].sum() / (right.sum() + 1))
+    assert nodes["rows"].tolist() == [400, (~right).sum(), right.sum()]
+
+
+def test_every_node_holds_its_rows():
+    """What the larger child has is its parent less the smaller child; a part of the rows is drawn."""
+    frame, _, trees = _boosting(rounds=3, depth=4, rows=0.5)
+    for nodes in trees:
+        assert 150 < nodes["rows"][0] < 250
+        for n in nodes[nodes["left"] >= 0].itertuples():
+            assert n.rows == nodes["rows"][n.left] + nodes["rows"][n.right]
+            assert n.total == pytest.approx(nodes["total"][n.left] + nodes["total"][n.right])
+    assert len({n["rows"][0] for n in trees}) > 1
+
+
 def test_heads_beat_the_majority_class(spark, views):
     rows = heads.node_rows(_labelled(views)).where("node = ''")
     trained = heads.train_node_heads(rows, 64, steps=20, rate=2.0)
