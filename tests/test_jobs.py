@@ -159,6 +159,16 @@ def test_price_queries_fit_the_model_of_the_library(small_fits, reload):
     assert sizes == [(1000, 7, 0.05)]
 
 
+def test_training_query_saves_the_whole_model(spark, small_fits):
+    views, sizes, paths = small_fits
+    held = price_queries._hold_out(views).first()
+    assert sizes == [(1000, 7, 0.05)] and len(paths) == 1
+    _, test = pricing.split_80_20(pricing.realistic_filter(views.listing_clean), price_queries._row_key())
+    scored = pricing.score_prices(pricing.load_price_model(spark, paths[0]), test)
+    rmse = scored.agg(F.sqrt(F.avg((F.col("estimate") - F.col("fiyat")) ** 2))).first()[0]
+    assert held.n_rows == test.count() and held.rmse_model == pytest.approx(rmse)
+
+
 def test_trees_do_not_depend_on_how_rows_are_dealt(spark, priced, monkeypatch):
     """One task, and several that add up their histograms, fit the same trees."""
     key = F.concat_ws("|", "marka", "seri", F.col("km").cast("string"), "yil")
