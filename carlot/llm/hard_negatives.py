@@ -35,6 +35,23 @@ LEAF = 24
 EXACT = 1 << 53
 #: An open end of a window.
 FAR = 1 << 62
+#: Anchors that travel to a block in one row.
+PIECE = 64
+#: Bytes of visits that a task hands on at a time.
+HANDED = 8 << 20
+#: Products that are looked through at a time.
+TABLE = 1 << 18
+
+
+def least(numbers: np.ndarray) -> np.ndarray:
+    """Whole numbers in the smallest signed type that holds them; others as they are."""
+    if numbers.dtype != np.int64 or not numbers.size:
+        return numbers
+    low, high = numbers.min(), numbers.max()
+    for kind in (np.int8, np.int16, np.int32):
+        if np.iinfo(kind).min <= low and high <= np.iinfo(kind).max:
+            return numbers.astype(kind)
+    return numbers
 
 
 def augmented(vectors: np.ndarray, square: float) -> np.ndarray:
@@ -122,13 +139,14 @@ class Block:
     def pack(self) -> bytes:
         out = io.BytesIO()
         own = {name: part for name, part in vars(self).items() if name != "tree"}
-        np.savez(out, **own, **vars(self.tree))
+        np.savez(out, **{name: least(np.asarray(part)) for name, part in (own | vars(self.tree)).items()})
         return out.getvalue()
 
     @classmethod
     def unpack(cls, data: bytes) -> Block:
         with np.load(io.BytesIO(data)) as found:
             parts = {name: found[name] for name in found.files}
+        parts = {name: p.astype(np.int64) if p.dtype.kind == "i" else p for name, p in parts.items()}
         own = {name: parts.pop(name) for name in ("vectors", "labels", "ids", "held")}
         square = float(parts.pop("square"))
         return cls(**own, square=square, tree=CoverTree(**parts))
@@ -183,8 +201,13 @@ class Descent:
         return out
 
     def verify(self, anchors: np.ndarray, rows: np.ndarray) -> None:
-        if not len(rows) or not len(anchors):
-            return
+        """The products of anchors and rows, a bounded number at a time."""
+        if len(rows):
+            step = max(1, TABLE // len(rows))
+            for at in range(0, len(anchors), step):
+                self.looked(anchors[at : at + step], rows)
+
+    def looked(self, anchors: np.ndarray, rows: np.ndarray) -> None:
         products = self.block.products(self.queries[anchors], rows)
         least, most = self.floors[anchors].min(1), self.highs[anchors].max(1)
         a, r = np.nonzero((products >= least[:, None]) & (products <= most[:, None]))
@@ -241,20 +264,56 @@ class Descent:
         return self
 
 
+@dataclass
+class Asked:
+    """Anchors with their windows, as ``Descent`` takes them."""
+
+    no: np.ndarray
+    own: np.ndarray
+    labels: np.ndarray
+    vectors: np.ndarray
+    lows: np.ndarray
+    highs: np.ndarray
+
+    @classmethod
+    def of(cls, frame: pd.DataFrame, dims: int) -> Asked:
+        windows = max(map(len, frame["lows"]), default=0)
+        lows, highs = np.full((len(frame), windows), FAR), np.full((len(frame), windows), -FAR)
+        for row, (low, high) in enumerate(zip(frame["lows"], frame["highs"])):
+            lows[row, : len(low)], highs[row, : len(high)] = low, high
+        vectors = _stacked(frame["vector"], dims)
+        return cls(*(frame[c].to_numpy() for c in ("no", "id", "label")), vectors, lows, highs)
+
+    def some(self, at) -> Asked:
+        return Asked(*(part[at] for part in vars(self).values()))
+
+    def pack(self) -> bytes:
+        out = io.BytesIO()
+        for part in vars(self).values():
+            np.save(out, least(part))
+        return out.getvalue()
+
+    @classmethod
+    def unpack(cls, pieces) -> Asked:
+        """The anchors of all pieces; where some have fewer windows, the others are closed."""
+        files = [io.BytesIO(piece) for piece in pieces]
+        parts = [[np.load(file).astype(np.int64) for file in files] for _ in range(6)]
+        for k, closed in ((4, FAR), (5, -FAR)):
+            most = max(part.shape[1] for part in parts[k])
+            parts[k] = [np.pad(p, ((0, 0), (0, most - p.shape[1])), constant_values=closed) for p in parts[k]]
+        return cls(*map(np.concatenate, parts))
+
+
 def _descents(same: bool, k: int):
-    def run(blocks: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    def run(blocks: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"no": [], "window": [], "found_id": [], "score": []}, dtype="int64")]
-        for packed in blocks["block"] if len(asked) else ():
-            block = Block.unpack(packed)
-            windows = max(map(len, asked["lows"]))
-            lows, highs = np.full((len(asked), windows), FAR), np.full((len(asked), windows), -FAR)
-            for row, bounds in enumerate(zip(asked["lows"], asked["highs"])):
-                lows[row, : len(bounds[0])], highs[row, : len(bounds[0])] = bounds
-            queries = _stacked(asked["vector"], block.vectors.shape[1])
-            own, labels = asked["id"].to_numpy(), asked["label"].to_numpy()
-            descent = Descent(block, queries, own, labels, same, lows, highs, k).run()
+        for packed in blocks["block"] if len(pieces) else ():
+            asked = Asked.unpack(pieces["asked"])
+            descent = Descent(
+                Block.unpack(packed), asked.vectors, asked.own, asked.labels, same, asked.lows, asked.highs, k
+            ).run()
             for w, rows in enumerate(descent.found):
-                no = asked["no"].to_numpy()[rows[:, 0]]
+                no = asked.no[rows[:, 0]]
                 out.append(pd.DataFrame({"no": no, "window": w, "found_id": rows[:, 2], "score": rows[:, 1]}))
         return pd.concat(out)
 
@@ -302,32 +361,52 @@ class Balls:
 
     def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(cell, distance to its centre) of vectors."""
-        spots = self.lifted(vectors)
-        squares = (spots * spots).sum(1)[:, None] + (self.centres**2).sum(1) - 2 * spots @ self.centres.T
-        cell = squares.argmin(1)
-        return cell, np.sqrt(((spots - self.centres[cell]) ** 2).sum(1)) * (1 + 1e-12)
+        cell, away = np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
+        step = max(1, TABLE // len(self.centres))
+        for at in range(0, len(vectors), step):
+            own = slice(at, at + step)
+            spots = self.lifted(vectors[own])
+            squares = (spots * spots).sum(1)[:, None] + (self.centres**2).sum(1) - 2 * spots @ self.centres.T
+            cell[own] = squares.argmin(1)
+            away[own] = np.sqrt(((spots - self.centres[cell[own]]) ** 2).sum(1)) * (1 + 1e-12)
+        return cell, away
 
     def visits(self, home: bool):
-        """The blocks that an anchor goes to: those of its own cell, or others in reach."""
+        """The blocks that anchors go to: those of their own cell, or others in reach.
+
+        A row holds some anchors of a chunk on their way to one block.
+        """
 
         def run(frames):
             for frame in frames:
-                out = []
-                if len(frame):
-                    vectors = _stacked(frame["vector"], self.dims)
-                    cells, _ = self.nearest(vectors)
-                    frame["vector"] = list(vectors)
-                    for own, query, row in zip(cells, vectors.astype(float), frame.itertuples(index=False)):
-                        went = [own] if home else [c for c in self.reach(query, row.lows, row.highs) if c != own]
-                        out += [(*row, c, p) for c in went for p in range(self.parts[c])]
-                yield pd.DataFrame(out, columns=["no", "id", "label", "vector", "lows", "highs", "cell", "part"])
+                rows, held = [], 0
+                for chunk, own in frame.groupby("chunk"):
+                    for at in range(0, len(own), PIECE):
+                        asked = Asked.of(own[at : at + PIECE], self.dims)
+                        cells, _ = self.nearest(asked.vectors)
+                        went = cells[:, None] == np.arange(len(self.centres))
+                        if not home:
+                            went = ~went & self.reach(asked)
+                        for cell in np.flatnonzero(went.any(0)):
+                            packed = asked.some(went[:, cell]).pack()
+                            rows += [(cell, part, chunk, packed) for part in range(self.parts[cell])]
+                            held += len(packed) * self.parts[cell]
+                            if held > HANDED:
+                                yield pd.DataFrame(rows, columns=["cell", "part", "chunk", "asked"])
+                                rows, held = [], 0
+                yield pd.DataFrame(rows, columns=["cell", "part", "chunk", "asked"])
 
         return run
 
-    def reach(self, query: np.ndarray, lows, highs) -> np.ndarray:
-        centre = self.centres[:, : self.dims] @ query
-        low, high = product_bounds(centre, self.radius, math.sqrt(query @ query), self.square)
-        return np.flatnonzero(((high[:, None] >= np.asarray(lows)) & (low[:, None] <= np.asarray(highs))).any(1))
+    def reach(self, asked: Asked) -> np.ndarray:
+        """Whether the ball of a cell may hold products of a window (anchors x cells)."""
+        queries = asked.vectors.astype(float)
+        centre = queries @ self.centres[:, : self.dims].T
+        low, high = product_bounds(centre, self.radius, np.sqrt((queries * queries).sum(1)), self.square)
+        out = np.zeros(low.shape, bool)
+        for floor, top in zip(asked.lows.T[:, :, None], asked.highs.T[:, :, None]):
+            out |= (high >= floor) & (low <= top)
+        return out
 
 
 def plant(rows: DataFrame, keep: int, per_block: int, sample: int) -> tuple[Balls, DataFrame]:
@@ -381,11 +460,14 @@ def search(balls: Balls, blocks: DataFrame, asked: DataFrame, same: bool, k: int
     """
     asked = stage(asked.select("no", "id", "label", "vector", "lows", "highs"), "asked")
     chunks = max(1, -(-asked.count() // per_chunk))
-    schema = "no long, id long, label long, vector array<long>, lows array<long>, highs array<long>, cell long, part long"
 
     def look(anchors: DataFrame, home: bool) -> DataFrame:
-        went = anchors.mapInPandas(balls.visits(home), schema)
-        went = stage(went.withColumn("chunk", F.pmod(F.xxhash64("no"), F.lit(chunks))), "visits")
+        dealt = anchors.withColumn("chunk", F.pmod(F.xxhash64("no"), F.lit(chunks)))
+        # by rows and not by chunks: a task's anchors may visit every block
+        went = dealt.sortWithinPartitions("chunk").mapInPandas(
+            balls.visits(home), "cell long, part long, chunk long, asked binary"
+        )
+        went = stage(went, "visits")
         by = ["cell", "part", "chunk"]
         needed = went.select(*by).distinct().join(blocks, ["cell", "part"]).toDF("own_cell", "own_part", "own_chunk", "block")
         found = needed.groupBy("own_cell", "own_part", "own_chunk").cogroup(went.groupBy(*by)).applyInPandas(

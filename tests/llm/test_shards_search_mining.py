@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,6 +210,41 @@ def test_hard_negatives(spark, per_block, spread):
     assert mined(found) == brute_negatives(rows, 20, 5, 3)
 
 
+def test_visits_and_products_come_in_bounded_amounts(monkeypatch):
+    """Anchors that may visit every block are handed on bit by bit, and verified so."""
+    rng = np.random.default_rng(5)
+    n, cells = 700, 90
+    vectors = rng.integers(-9, 10, (n, 4))
+    balls = mining.Balls(4, 400.0, rng.normal(size=(cells, 5)) * 10, np.full(cells, 60.0), np.full(cells, 2))
+    far = mining.FAR
+    frame = pd.DataFrame({
+        "no": np.arange(n) + 5000, "id": np.arange(n), "label": np.arange(n) % 3, "vector": list(vectors),
+        "lows": [[-far, far]] * n, "highs": [[far, -far]] * n, "chunk": np.arange(n) % 2,
+    })
+    monkeypatch.setattr(mining, "HANDED", 50_000)
+    handed = list(balls.visits(False)([frame]))
+    assert max(f["asked"].map(len).sum() for f in handed) < 60_000
+    seen = Counter()
+    for row in pd.concat(handed).itertuples():
+        asked = mining.Asked.unpack([row.asked])
+        assert (asked.vectors == vectors[asked.own]).all() and set(asked.own % 2) == {row.chunk}
+        assert asked.lows.tolist() == [[-far, far]] * len(asked.own)
+        seen.update((int(a), row.cell, row.part) for a in asked.own)
+    own, _ = balls.nearest(vectors)
+    assert seen == Counter((a, c, p) for a in range(n) for c in range(cells) if c != own[a] for p in range(2))
+
+    points = rng.integers(-9, 10, (300, 4))
+    square = float((points * points).sum(1).max())
+    one = np.ones(300, np.int64)
+    block = mining.Block(points, one, np.arange(300)[:, None] + 9000, one, square, mining.CoverTree.grow(mining.augmented(points.astype(float), square)))
+    sizes, products = [], mining.Block.products
+    monkeypatch.setattr(mining.Block, "products", lambda self, q, r: sizes.append(len(q) * len(r)) or products(self, q, r))
+    monkeypatch.setattr(mining, "TABLE", 4000)
+    ends = np.full((n, 1), far)
+    mining.Descent(block, vectors, np.arange(n), np.ones(n, np.int64), True, -ends, ends, 5).verify(np.arange(n), np.arange(300))
+    assert max(sizes) <= 4000 and sum(sizes) == n * 300
+
+
 def test_hard_negatives_without_rows(spark):
     none = spark.createDataFrame([(1, 1, None)], "vec_id long, label int, embedding array<float>")
     assert mining.hard_negatives(none, F.lit(True)).count() == 0
