@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -564,3 +565,18 @@ def test_landed_pages_are_rendered_once(spark):
     )
     found = source_queries._ingest_rejects(SimpleNamespace(spark=spark, rendered_pages=made))
     assert [tuple(r) for r in found.collect()] == [(0, "cell count", 8, 1)]
+
+
+@pytest.mark.parametrize("query", ["_ingest_versions"])
+def test_ingest_keeps_its_pages_once(spark, query):
+    """Beside what lands there is no other copy of the pages, and parsed rows go with their batch."""
+    table = '<table id="searchResultsTable"><tbody><tr></tr><tr><td> x</td></tr></tbody></table>'
+    made = spark.range(8).selectExpr("0 as site", "id as page", f"concat('{table}', id) as html")
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    getattr(source_queries, query)(SimpleNamespace(spark=spark, rendered_pages=made)).collect()
+    new = {p.name.rpartition("-")[0]: p for p in set(shared.iterdir()) - before}
+    assert set(new) == {"landing", "store", "stream-state"}
+    files = [*new["landing"].glob("*.parquet"), *new["store"].glob("rejects/*/*/*.parquet")]
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).num_row_groups}
+    assert codecs == {"ZSTD"}
