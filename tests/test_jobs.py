@@ -567,7 +567,7 @@ def test_landed_pages_are_rendered_once(spark):
     assert [tuple(r) for r in found.collect()] == [(0, "cell count", 8, 1)]
 
 
-@pytest.mark.parametrize("query", ["_ingest_versions"])
+@pytest.mark.parametrize("query", ["_ingest_versions", "_ingest_rejects"])
 def test_ingest_keeps_its_pages_once(spark, query):
     """Beside what lands there is no other copy of the pages, and parsed rows go with their batch."""
     table = '<table id="searchResultsTable"><tbody><tr></tr><tr><td> x</td></tr></tbody></table>'
